@@ -14,8 +14,10 @@ from roomledger.functions.text import (
     first_of,
     first_text,
     group_of,
+    let,
     lines_of,
     none_if_empty,
+    preferred,
     strip,
 )
 
@@ -33,9 +35,13 @@ def is_badge(text: Column) -> Column:
 
 def badges(candidates: Column, cap: int = fixed.BADGE_CAP) -> Column:
     """Distinct badge texts; matchers after the one that reaches the cap are not used."""
+
+    def within_cap(kept: Column) -> Column:
+        last = F.coalesce(F.get(kept, F.lit(cap - 1))["prio"], F.lit(_INT_MAX))
+        return let(last, lambda prio: F.filter(kept, lambda c: c["prio"] <= prio))
+
     kept = distinct_by_text(F.filter(candidates, lambda c: is_badge(c["text"])))
-    last = F.coalesce(F.get(kept, F.lit(cap - 1))["prio"], F.lit(_INT_MAX))
-    return F.transform(F.filter(kept, lambda c: c["prio"] <= last), lambda c: c["text"])
+    return F.transform(let(kept, within_cap), lambda c: c["text"])
 
 
 def merged_tags(tags: Column, popular: Column) -> Column:
@@ -73,49 +79,63 @@ def facility_map(headings: Column, items: Column) -> Column:
 
     def entry(group: Column) -> Column:
         heading = F.get(F.filter(headings, lambda h: h["grp"] == group), F.lit(0))["text"]
-        name = F.coalesce(heading, F.concat(F.lit("Group "), (group + 1).cast("string")))
-        texts = F.filter(
-            items,
-            lambda i: (i["grp"] == group)
-            & (i["text"] != "")
-            & (F.length(i["text"]) < fixed.FACILITY_LENGTH)
-            & (i["text"] != name),
+        named = F.coalesce(heading, F.concat(F.lit("Group "), (group + 1).cast("string")))
+
+        def filled(name: Column) -> Column:
+            texts = F.filter(
+                items,
+                lambda i: (i["grp"] == group)
+                & (i["text"] != "")
+                & (F.length(i["text"]) < fixed.FACILITY_LENGTH)
+                & (i["text"] != name),
+            )
+            return F.struct(
+                name.alias("key"), F.transform(texts, lambda i: i["text"]).alias("value")
+            )
+
+        return let(named, filled)
+
+    def lasts(entries: Column) -> Column:
+        names = F.transform(entries, lambda e: e["key"])
+        return let(
+            names,
+            lambda all_names: F.filter(
+                entries,
+                lambda e, i: ~F.array_contains(F.slice(all_names, i + 2, F.size(all_names)), e["key"]),
+            ),
         )
-        return F.struct(name.alias("key"), F.transform(texts, lambda i: i["text"]).alias("value"))
 
     entries = F.filter(F.transform(groups, entry), lambda e: F.size(e["value"]) > 0)
-    names = F.transform(F.reverse(entries), lambda e: e["key"])
-    count = F.size(entries)
-    last = F.filter(
-        entries,
-        lambda e, i: F.array_position(names, e["key"]) == (count - i).cast("bigint"),
-    )
     empty = F.map_from_entries(F.array().cast("array<struct<key:string,value:array<string>>>"))
-    return F.coalesce(F.map_from_entries(last), empty)
+    return F.coalesce(F.map_from_entries(let(entries, lasts)), empty)
 
 
 def room(name: Column, row: Column, occupancy: Column, amount: Column) -> Column:
     """One room from its name, row text, occupancy text and price text."""
-    text = F.lower(row)
-    guests = F.when(occupancy != "", occupancy.try_cast("int")).otherwise(
-        F.coalesce(
+
+    def read(text: Column) -> Column:
+        in_text = F.coalesce(
             group_of(text, fixed.ROOM_GUESTS).try_cast("int"),
             group_of(text, fixed.ROOM_TIMES).try_cast("int"),
         )
-    )
-    cancellation = (
-        F.when(text.contains("free cancellation"), F.lit("free"))
-        .when(contains_any(text, ["non-refundable", "no refund"]), F.lit("non_refundable"))
-        .when(text.contains("partially refundable"), F.lit("partial"))
-    )
-    return F.struct(
-        name.alias("name"),
-        strip(group_of(text, fixed.ROOM_BEDS)).alias("beds"),
-        group_of(text, fixed.ROOM_SIZE).try_cast("int").alias("size_sqm"),
-        guests.alias("max_guests"),
-        price(amount).alias("price_vnd"),
-        cancellation.alias("cancellation"),
-    )
+        guests = let(
+            occupancy, lambda o: F.when(o != "", o.try_cast("int")).otherwise(in_text)
+        )
+        cancellation = (
+            F.when(text.contains("free cancellation"), F.lit("free"))
+            .when(contains_any(text, ["non-refundable", "no refund"]), F.lit("non_refundable"))
+            .when(text.contains("partially refundable"), F.lit("partial"))
+        )
+        return F.struct(
+            name.alias("name"),
+            strip(group_of(text, fixed.ROOM_BEDS)).alias("beds"),
+            group_of(text, fixed.ROOM_SIZE).try_cast("int").alias("size_sqm"),
+            guests.alias("max_guests"),
+            price(amount).alias("price_vnd"),
+            cancellation.alias("cancellation"),
+        )
+
+    return let(F.lower(row), read)
 
 
 def rooms(
@@ -132,8 +152,7 @@ def rooms(
     distinct inside that cut.
     """
     cut = F.filter(names, lambda c: (c["grp"] < cap) & (c["text"] != ""))
-    best = F.get(cut, F.lit(0))["prio"]
-    chosen = distinct_by_text(F.filter(cut, lambda c: c["prio"] == best))
+    chosen = distinct_by_text(let(cut, preferred))
 
     def beside(candidates: Column, of: Column) -> Column:
         same = F.filter(
@@ -191,21 +210,30 @@ def star_candidates(candidates: Column) -> Column:
 
 def availability(sold_out: Column, message: Column) -> Column:
     """struct(status, rooms_left) from a sold-out mark and an urgency message."""
-    left = rooms_left(message)
-    lowered = F.lower(message)
 
     def state(status: str, rooms: Column) -> Column:
         return F.struct(F.lit(status).alias("status"), rooms.cast("int").alias("rooms_left"))
 
     none = F.lit(None)
-    return (
-        F.when(sold_out, state("sold_out", none))
-        .when(message.isNull() | (message == ""), state("available", none))
-        .when((left == 1) | lowered.contains("last room"), state("last_room", F.lit(1)))
-        .when(left.isNotNull(), state("limited", left))
-        .when(contains_any(lowered, fixed.DEMAND_WORDS), state("limited", none))
-        .otherwise(state("available", none))
+
+    def read(m: Column) -> Column:
+        left, lowered = m["left"], m["text"]
+        return (
+            F.when(m["gone"], state("sold_out", none))
+            .when(lowered.isNull() | (lowered == ""), state("available", none))
+            .when((left == 1) | lowered.contains("last room"), state("last_room", F.lit(1)))
+            .when(left.isNotNull(), state("limited", left))
+            .when(contains_any(lowered, fixed.DEMAND_WORDS), state("limited", none))
+            .otherwise(state("available", none))
+        )
+
+    parts = let(
+        F.lower(message),
+        lambda text: F.struct(
+            sold_out.alias("gone"), text.alias("text"), rooms_left(text).alias("left")
+        ),
     )
+    return let(parts, read)
 
 
 def check_time(items: Column, key: str, sections: Column, words: list[str], legacy: Column) -> Column:

@@ -6,12 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from roomledger import fixed_values as fixed
-from roomledger.functions.text import contains_any, group_of, none_if_empty, strip
+from roomledger.functions.text import contains_any, group_of, let, none_if_empty, strip
 
 
 def within(value: Column, low: float, high: float) -> Column:
     """The value if inside the range, else null."""
-    return F.when(value.between(low, high), value)
+    return let(value, lambda v: F.when(v.between(low, high), v))
 
 
 def round_half_even(value: Column, digits: int) -> Column:
@@ -19,26 +19,34 @@ def round_half_even(value: Column, digits: int) -> Column:
 
     The built-in round works on the shortest decimal text of a double, so it
     sees a tie in 12.35 although the stored number lies below it. Here the
-    double is multiplied exactly (as a sum of two doubles) before it is rounded.
+    built-in result is lowered by one unit where the double, multiplied exactly
+    (as the sum of two doubles), lies below the tie or on it with an odd result.
     """
     scale = 10.0**digits
     twice = 2 * scale
-    spread = value * 134217729.0
-    high = spread - (spread - value)
-    low = value - high
-    a, b = high * twice, low * twice
-    total = a + b
-    back = total - a
-    error = (a - (total - back)) + (b - back)
-    # floor of the exact product 2 * scale * value
-    floored = F.floor(total).cast("double")
-    floored = F.when((floored == total) & (error < 0), floored - 1).otherwise(floored)
-    half = F.floor(floored / 2).cast("double")
-    odd = floored - half * 2 == 1
-    tie = (floored == total) & (error == 0)
-    half_odd = half - F.floor(half / 2).cast("double") * 2 == 1
-    up = odd & (~tie | half_odd)
-    return (half + F.when(up, 1.0).otherwise(0.0)) / scale
+
+    def product(v: Column) -> Column:
+        spread = v * 134217729.0
+        high = spread - (spread - v)
+        return F.struct(
+            v.alias("v"), (high * twice).alias("a"), ((v - high) * twice).alias("b"),
+            F.round(v * 1, digits).alias("r"),
+        )
+
+    def with_error(p: Column) -> Column:
+        total = p["a"] + p["b"]
+        return F.struct(
+            total.alias("t"), (p["b"] - (total - p["a"])).alias("e"),
+            F.round(p["r"] * scale).alias("units"),
+        )
+
+    def corrected(q: Column) -> Column:
+        above_tie = (q["t"] - (q["units"] * 2 - 1)) + q["e"]
+        odd = q["units"].cast("bigint") % 2 != 0
+        lower = (above_tie < 0) | ((above_tie == 0) & odd)
+        return (q["units"] - F.when(lower, 1.0).otherwise(0.0)) / scale
+
+    return let(let(let(value, product), with_error), corrected)
 
 
 def score(text: Column) -> Column:
@@ -58,47 +66,59 @@ def review_count(text: Column, least: int = fixed.LEAST_REVIEW_COUNT) -> Column:
 
 def price(text: Column) -> Column:
     """A positive amount; dots and commas are read by the shape of the number."""
-    digits = F.regexp_replace(text, r"[^0-9.,]", "")
-    without_commas = F.replace(digits, F.lit(","), F.lit(""))
-    comma_as_dot = F.replace(digits, F.lit(","), F.lit("."))
-    plain = (
-        F.when(
-            digits.rlike(fixed.DOT_THOUSANDS),
-            F.replace(F.replace(digits, F.lit("."), F.lit("")), F.lit(","), F.lit(".")),
+
+    def amount(digits: Column) -> Column:
+        without_commas = F.replace(digits, F.lit(","), F.lit(""))
+        comma_as_dot = F.replace(digits, F.lit(","), F.lit("."))
+        without_dots = F.replace(digits, F.lit("."), F.lit(""))
+        plain = (
+            F.when(~digits.contains(","), F.when(
+                digits.rlike(fixed.DOT_THOUSANDS), without_dots).otherwise(digits))
+            .when(
+                digits.rlike(fixed.DOT_THOUSANDS),
+                F.replace(without_dots, F.lit(","), F.lit(".")),
+            )
+            .when(digits.rlike(fixed.COMMA_THOUSANDS) | digits.contains("."), without_commas)
+            .otherwise(comma_as_dot)
         )
-        .when(digits.rlike(fixed.COMMA_THOUSANDS), without_commas)
-        .when(digits.contains(",") & ~digits.contains("."), comma_as_dot)
-        .otherwise(without_commas)
-    )
-    amount = plain.try_cast("double")
-    return F.when(amount > 0, amount)
+        return let(plain.try_cast("double"), lambda number: F.when(number > 0, number))
+
+    return let(F.regexp_replace(text, r"[^0-9.,]+", ""), amount)
 
 
 def rooms_left(text: Column) -> Column:
-    lowered = F.lower(text)
-    counted = group_of(lowered, fixed.ROOMS_PATTERN)
-    return F.when(counted.isNotNull(), counted.try_cast("int")).when(
-        contains_any(lowered, fixed.LAST_ROOM_WORDS), F.lit(1)
-    )
+    def counted(lowered: Column) -> Column:
+        number = F.regexp_extract(lowered, fixed.ROOMS_PATTERN, 1)
+        last = F.when(contains_any(lowered, fixed.LAST_ROOM_WORDS), F.lit(1))
+        return let(number, lambda n: F.when(n != "", n.try_cast("int")).otherwise(last))
+
+    return let(F.lower(text), counted)
 
 
 def stars(label: Column, count: Column | None = None) -> Column:
     """Stars from a label, else from a number of star elements; 1 to 5 or null."""
-    lowered = F.lower(label)
-    found = [
-        within(group_of(lowered, pattern).try_cast("int"), 1, 5)
-        for pattern in (fixed.STARS_OF, fixed.STARS_HYPHEN)
-    ]
-    if count is not None:
-        found.append(within(count.cast("int"), 1, 5))
-    return F.coalesce(*found)
+
+    def from_label(lowered: Column) -> Column:
+        return F.coalesce(
+            *[
+                within(group_of(lowered, pattern).try_cast("int"), 1, 5)
+                for pattern in (fixed.STARS_OF, fixed.STARS_HYPHEN)
+            ]
+        )
+
+    found = let(F.lower(label), from_label)
+    return found if count is None else F.coalesce(found, within(count.cast("int"), 1, 5))
 
 
 def discount_percent(original: Column, current: Column) -> Column:
     """Rebate in percent with one decimal; null unless the original price is higher."""
-    raw = (original - current) / original * 100
-    valid = (original > 0) & (current > 0) & (original > current)
-    return F.when(valid, round_half_even(raw, 1))
+
+    def percent(p: Column) -> Column:
+        raw = (p["o"] - p["c"]) / p["o"] * 100
+        valid = (p["o"] > 0) & (p["c"] > 0) & (p["o"] > p["c"])
+        return F.when(valid, round_half_even(raw, 1))
+
+    return let(F.struct(original.alias("o"), current.alias("c")), percent)
 
 
 def sane_original_price(original: Column, current: Column) -> Column:
@@ -108,10 +128,13 @@ def sane_original_price(original: Column, current: Column) -> Column:
 
 def taxes_included(text: Column) -> Column:
     """False, true or unknown; exclusion phrases are tested first."""
-    lowered = F.lower(text)
-    return F.when(contains_any(lowered, fixed.TAX_EXCLUDED), F.lit(False)).when(
-        contains_any(lowered, fixed.TAX_INCLUDED), F.lit(True)
-    )
+
+    def flag(lowered: Column) -> Column:
+        return F.when(contains_any(lowered, fixed.TAX_EXCLUDED), F.lit(False)).when(
+            contains_any(lowered, fixed.TAX_INCLUDED), F.lit(True)
+        )
+
+    return let(F.lower(text), flag)
 
 
 def nonzero(value: Column) -> Column:
@@ -121,20 +144,30 @@ def nonzero(value: Column) -> Column:
 
 def time_of_day(text: Column) -> Column:
     """HH:MM: a 12-hour form becomes a padded 24-hour one, else the time as written."""
-    meridiem = F.upper(F.regexp_extract(text, fixed.TIME_12H, 3))
-    hour = none_if_empty(F.regexp_extract(text, fixed.TIME_12H, 1)).try_cast("int")
-    hour = (
-        F.when((meridiem == "PM") & (hour != 12), hour + 12)
-        .when((meridiem == "AM") & (hour == 12), F.lit(0))
-        .otherwise(hour)
-    )
-    padded = F.when(hour < 10, F.concat(F.lit("0"), hour.cast("string"))).otherwise(
-        hour.cast("string")
-    )
-    minutes = F.regexp_extract(text, fixed.TIME_12H, 2)
-    return F.coalesce(
-        F.concat(padded, F.lit(":"), minutes), group_of(text, fixed.TIME_24H)
-    )
+
+    def in_day(p: Column) -> Column:
+        hour = (
+            F.when((p["half"] == "PM") & (p["hour"] != 12), p["hour"] + 12)
+            .when((p["half"] == "AM") & (p["hour"] == 12), F.lit(0))
+            .otherwise(p["hour"])
+        )
+        return let(
+            hour,
+            lambda h: F.concat(
+                F.when(h < 10, F.lit("0")).otherwise(F.lit("")), h.cast("string"), F.lit(":"),
+                p["minute"],
+            ),
+        )
+
+    def read(t: Column) -> Column:
+        twelve = F.struct(
+            none_if_empty(F.regexp_extract(t, fixed.TIME_12H, 1)).try_cast("int").alias("hour"),
+            F.regexp_extract(t, fixed.TIME_12H, 2).alias("minute"),
+            F.upper(F.regexp_extract(t, fixed.TIME_12H, 3)).alias("half"),
+        )
+        return F.coalesce(let(twelve, in_day), group_of(t, fixed.TIME_24H))
+
+    return F.when(text.contains(":"), let(text, read))
 
 
 def trimmed_number(text: Column) -> Column:

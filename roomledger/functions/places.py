@@ -6,14 +6,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from roomledger import fixed_values as fixed
-from roomledger.functions.numbers import nonzero, round_half_even, trimmed_number
+from roomledger.functions.numbers import round_half_even, trimmed_number
 from roomledger.functions.text import (
     contains_any,
     first_keyword,
     first_of,
     first_text,
     group_of,
+    let,
     none_if_empty,
+    preferred,
     strip,
 )
 
@@ -40,7 +42,9 @@ def canonical_url(href: Column, host: str = DEFAULT_HOST) -> Column:
     path = F.regexp_replace(path, r"[\t\r\n]", "")
     path = F.regexp_replace(path, r";[^/]*$", "")
     path = F.regexp_replace(path, fixed.LANGUAGE_TAG, "$1")
-    path = F.when((path == "") | path.startswith("/"), path).otherwise(F.concat(F.lit("/"), path))
+    path = let(
+        path, lambda p: F.when((p == "") | p.startswith("/"), p).otherwise(F.concat(F.lit("/"), p))
+    )
     return F.when(href != "", F.concat(F.lit(f"https://{host}"), path))
 
 
@@ -63,15 +67,17 @@ def card_address(direct: Column, hints: Column) -> Column:
 
 def property_type(explicit: Column, hints: Column) -> Column:
     """Explicit badge if short enough, else the first list word in a short hint text."""
-    badge = first_text(explicit)
 
     def classify(c: Column) -> Column:
         words = {word: [word] for word in fixed.PROPERTY_TYPES}
         short = (c["text"] != "") & (F.length(c["text"]) <= fixed.TYPE_LENGTH)
         return F.when(short, first_keyword(c["text"], words))
 
-    return F.when(F.length(badge) <= fixed.TYPE_LENGTH, badge).otherwise(
-        F.initcap(first_of(hints, classify))
+    return let(
+        first_text(explicit),
+        lambda badge: F.when(F.length(badge) <= fixed.TYPE_LENGTH, badge).otherwise(
+            F.initcap(first_of(hints, classify))
+        ),
     )
 
 
@@ -82,19 +88,21 @@ def linked_items(blobs: Column) -> Column:
     no items.
     """
 
+    def of_blob(blob: Column) -> Column:
+        whole = F.array(F.struct(*[blob[name].alias(name) for name in _BLOB_FIELDS]))
+        return F.coalesce(blob["@graph"], whole)
+
     def items(text: Column) -> Column:
         blob = F.from_json(text, _BLOB, {"allowSingleQuotes": "false"})
-        whole = F.array(F.struct(*[blob[name].alias(name) for name in _BLOB_FIELDS]))
-        return F.when(F.ltrim(text).startswith("{"), F.coalesce(blob["@graph"], whole))
+        return F.when(F.ltrim(text).startswith("{"), let(blob, of_blob))
 
     return F.filter(F.transform(blobs, items), lambda a: a.isNotNull())
 
 
 def _truthy(number: Column) -> Column:
     """Text of a JSON number, null if empty or zero."""
-    plain = none_if_empty(number)
-    value = plain.try_cast("double")
-    return F.when(value.isNull() | nonzero(value).isNotNull(), plain)
+    zero = F.coalesce(number.try_cast("double") == 0, F.lit(False))
+    return F.when((number != "") & ~zero, number)
 
 
 def coordinates(
@@ -105,24 +113,29 @@ def coordinates(
     def position(item: Column) -> Column:
         lat = F.coalesce(_truthy(item["geo"]["latitude"]), _truthy(item["latitude"]))
         lon = F.coalesce(_truthy(item["geo"]["longitude"]), _truthy(item["longitude"]))
-        return F.when(lat.isNotNull() & lon.isNotNull(), F.struct(lat.alias("a"), lon.alias("b")))
+        return complete(lat, lon)
 
-    def both(a: Column, b: Column) -> Column:
-        lat, lon = trimmed_number(a), trimmed_number(b)
-        return F.when(
-            lat.isNotNull() & lon.isNotNull(),
+    def complete(lat: Column, lon: Column) -> Column:
+        return let(
             F.struct(lat.alias("latitude"), lon.alias("longitude")),
+            lambda p: F.when(p["latitude"].isNotNull() & p["longitude"].isNotNull(), p),
         )
 
+    def both(a: Column, b: Column) -> Column:
+        return complete(trimmed_number(a), trimmed_number(b))
+
     def in_blob(blob: Column) -> Column:
-        found = first_of(blob, position)
-        return both(found["a"], found["b"])
+        return let(
+            first_of(blob, position), lambda found: both(found["latitude"], found["longitude"])
+        )
+
+    def in_pair(parts: Column) -> Column:
+        return F.when(F.size(parts) > 1, both(F.get(parts, F.lit(0)), F.get(parts, F.lit(1))))
 
-    parts = F.split(pair, ",")
     return F.coalesce(
         first_of(items, in_blob),
         both(none_if_empty(meta_latitude), none_if_empty(meta_longitude)),
-        F.when(pair.contains(","), both(F.get(parts, F.lit(0)), F.get(parts, F.lit(1)))),
+        let(F.split(pair, ","), in_pair),
         F.struct(
             F.lit(None).cast("double").alias("latitude"),
             F.lit(None).cast("double").alias("longitude"),
@@ -134,13 +147,16 @@ def linked_address(items: Column) -> Column:
     """struct(street, locality) of the first item with a street or a plain address text."""
 
     def address(item: Column) -> Column:
-        raw = strip(item["address"])
+        return let(
+            let(strip(item["address"]), parts), lambda a: F.when(a["street"] != "", a)
+        )
+
+    def parts(raw: Column) -> Column:
         nested = raw.startswith("{")
         street = F.when(nested, F.get_json_object(raw, "$.streetAddress")).otherwise(raw)
         locality = F.when(nested, F.get_json_object(raw, "$.addressLocality"))
-        return F.when(
-            strip(street) != "",
-            F.struct(strip(street).alias("street"), none_if_empty(strip(locality)).alias("locality")),
+        return F.struct(
+            strip(street).alias("street"), none_if_empty(strip(locality)).alias("locality")
         )
 
     return first_of(F.flatten(items), address)
@@ -148,15 +164,19 @@ def linked_address(items: Column) -> Column:
 
 def nearby_place(text: Column) -> Column:
     """struct(name, distance_km, type) of one place text."""
-    number = group_of(text, fixed.PLACE_DISTANCE).try_cast("double")
-    unit = F.lower(F.regexp_extract(text, fixed.PLACE_DISTANCE, 2))
-    distance = (
-        F.when(unit == "m", round_half_even(number / 1000, 2))
-        .when(unit == "mile", round_half_even(number * fixed.KM_PER_MILE, 2))
-        .otherwise(number)
+    amount = F.struct(
+        group_of(text, fixed.PLACE_DISTANCE).try_cast("double").alias("n"),
+        F.lower(F.regexp_extract(text, fixed.PLACE_DISTANCE, 2)).alias("unit"),
     )
+
+    def kilometres(a: Column) -> Column:
+        scaled = F.when(a["unit"] == "m", a["n"] / 1000).otherwise(a["n"] * fixed.KM_PER_MILE)
+        return F.when(a["unit"] == "km", a["n"]).otherwise(round_half_even(scaled, 2))
+
     kind = F.coalesce(first_keyword(text, fixed.PLACE_KEYWORDS), F.lit("other"))
-    return F.struct(text.alias("name"), distance.alias("distance_km"), kind.alias("type"))
+    return F.struct(
+        text.alias("name"), let(amount, kilometres).alias("distance_km"), kind.alias("type")
+    )
 
 
 def nearby_places(candidates: Column, cap: int = fixed.PLACE_CAP) -> Column:
@@ -165,9 +185,7 @@ def nearby_places(candidates: Column, cap: int = fixed.PLACE_CAP) -> Column:
     usable = F.filter(
         cut, lambda c: (c["text"] != "") & (F.length(c["text"]) <= fixed.PLACE_LENGTH)
     )
-    best = F.get(usable, F.lit(0))["prio"]
-    chosen = F.filter(usable, lambda c: c["prio"] == best)
-    return F.transform(chosen, lambda c: nearby_place(c["text"]))
+    return F.transform(let(usable, preferred), lambda c: nearby_place(c["text"]))
 
 
 def is_blocked(title: Column, url: Column) -> Column:

@@ -17,6 +17,15 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(fixed.WHITESPACE))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """A value that is computed once per row and then used several times.
+
+    Without it the expression of the value is repeated at every use, and inside
+    a lambda it would be evaluated again for every element.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def none_if_empty(text: Column) -> Column:
     return F.nullif(text, F.lit(""))
 
@@ -66,29 +75,44 @@ def leading_text(candidates: Column) -> Column:
 def first_group_texts(candidates: Column, keep: Callable[[Column], Column]) -> Column:
     """Distinct kept texts of the most preferred matcher that has any."""
     kept = F.filter(candidates, lambda c: (c["text"] != "") & keep(c["text"]))
-    best = F.get(kept, F.lit(0))["prio"]
-    chosen = F.filter(kept, lambda c: c["prio"] == best)
+    chosen = let(kept, preferred)
     return F.array_distinct(F.transform(chosen, lambda c: c["text"]))
 
 
+def preferred(candidates: Column) -> Column:
+    """The candidates of the first one's matcher; the argument must be bound by let."""
+    first = F.get(candidates, F.lit(0))["prio"]
+    return F.filter(candidates, lambda c: c["prio"] == first)
+
+
 def distinct_by_text(candidates: Column) -> Column:
     """Keep the first candidate of each text."""
-    texts = F.transform(candidates, lambda c: c["text"])
-    return F.filter(
-        candidates, lambda c, i: F.array_position(texts, c["text"]) == (i + 1).cast("bigint")
-    )
+    def firsts(bound: Column) -> Column:
+        texts = F.transform(bound, lambda c: c["text"])
+        return let(
+            texts,
+            lambda t: F.filter(
+                bound, lambda c, i: F.array_position(t, c["text"]) == (i + 1).cast("bigint")
+            ),
+        )
+
+    return let(candidates, firsts)
 
 
 def keywords_found(text: Column, phrases: dict[str, list[str]]) -> Column:
     """All keys with a phrase inside the text, in map order (plain substring test)."""
-    lowered = F.lower(text)
-    hits = [F.when(contains_any(lowered, words), F.lit(key)) for key, words in phrases.items()]
-    return F.array_compact(F.array(*hits))
+    def hits(lowered: Column) -> Column:
+        found = [F.when(contains_any(lowered, w), F.lit(key)) for key, w in phrases.items()]
+        return F.array_compact(F.array(*found))
+
+    return let(F.lower(text), hits)
 
 
 def first_keyword(text: Column, phrases: dict[str, list[str]]) -> Column:
     """The first key, in map order, with a phrase inside the text."""
-    lowered = F.lower(text)
-    return F.coalesce(
-        *[F.when(contains_any(lowered, words), F.lit(key)) for key, words in phrases.items()]
-    )
+    def first(lowered: Column) -> Column:
+        return F.coalesce(
+            *[F.when(contains_any(lowered, w), F.lit(key)) for key, w in phrases.items()]
+        )
+
+    return let(F.lower(text), first)

@@ -262,9 +262,10 @@ FLAT_PATHS = {
 }
 
 
-def _kind(path: str) -> T.DataType:
+def kind_of(column: str) -> T.DataType:
+    """Type of a flat column before it is written as text."""
     kind: T.DataType = RECORD
-    for name in path.split("."):
+    for name in FLAT_PATHS.get(column, column).split("."):
         kind = kind[name].dataType
     return kind
 
@@ -277,7 +278,7 @@ def flatten(records: DataFrame, as_text: bool = True, keep: tuple[str, ...] = ()
             columns.append(F.col(name).cast("string").alias(name) if as_text else F.col(name))
             continue
         path = FLAT_PATHS.get(name, name)
-        kind = _kind(path)
+        kind = kind_of(name)
         value = F.col(path)
         if as_text and isinstance(kind, (T.ArrayType, T.MapType)):
             value = F.when(value.isNotNull(), json_text(value, kind))

@@ -11,7 +11,13 @@ from roomledger.functions.jsontext import json_text
 from roomledger.schema import FLAT
 from roomledger.sources.jsonl import read_store
 
-_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
+_OPTIONS = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def as_csv_columns(rows: DataFrame, columns: list[str]) -> DataFrame:

@@ -9,8 +9,11 @@ expression on its output.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections import defaultdict
 from collections.abc import Iterator
 from html import unescape
+from operator import attrgetter
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -59,6 +62,9 @@ class _Node:
         self.raw = ""
 
 
+_index = attrgetter("index")
+
+
 class _Page:
     """Elements of a page in document order, with their ranges of text pieces."""
 
@@ -67,6 +73,7 @@ class _Page:
         self.pieces: list[str] = []
         self._open: list[_Node] = []
         self._children = [0]
+        self._files: dict | None = None
         self._read(html)
         while self._open:
             self._pop()
@@ -132,6 +139,30 @@ class _Page:
             self.pieces.append(_BREAK)
         node.stop, node.end = len(self.pieces), len(self.nodes)
 
+    def filed(self, key: tuple, low: int, high: int) -> list[_Node]:
+        """Elements by tag, attribute, attribute value or class word, in document order.
+
+        Only those with an index from low to high, which are the ones inside of
+        an element.
+        """
+        if self._files is None:
+            self._files = files = defaultdict(list)
+            for node in self.nodes:
+                files["tag", node.tag, None].append(node)
+                for name, value in node.attrs.items():
+                    files["has", name, None].append(node)
+                    files["equal", name, value].append(node)
+                    if name == "class":
+                        for word in set(value.split()):
+                            files["word", name, word].append(node)
+        nodes = self._files.get(key)
+        if not nodes:
+            return []
+        if low == 0 and high == len(self.nodes):
+            return nodes
+        start = bisect_left(nodes, low, key=_index)
+        return nodes[start : bisect_left(nodes, high, lo=start, key=_index)]
+
     def text(self, node: _Node) -> str:
         """Text as shown: white space collapsed, one line per block."""
         joined = re.sub(r"[ \t\r\n\f]+", " ", "".join(self.pieces[node.start : node.stop]))
@@ -159,14 +190,26 @@ class _Part(NamedTuple):
     needles: tuple
 
 
+class _Chain(NamedTuple):
+    """An alternative of a selector: its parts and the key of the elements it can end in.
+
+    ``exact`` says that every element under the key fits without further tests.
+    """
+
+    parts: tuple[_Part, ...]
+    key: tuple
+    exact: bool
+    needles: tuple[str, ...]
+
+
 _TOKEN = re.compile(
     r"\s*([>~])\s*|(\s+)|\.([\w-]+)|#([\w-]+)|\[([\w-]+)(?:(\*?)='([^']*)')?\]"
     r"|:not\(\[([\w-]+)\]\)|:nth-child\((\d+)\)|([a-zA-Z][\w-]*)"
 )
 
 
-def _compile(selector: str) -> list[list[_Part]]:
-    """Alternatives of a selector, each a chain of parts."""
+def _compile(selector: str) -> list[_Chain]:
+    """The alternatives of a selector."""
     alternatives = []
     for text in re.split(r",\s*(?![^\[]*\])", selector.strip()):
         chain, relation, tag, tests, needles = [], "", None, [], []
@@ -193,7 +236,11 @@ def _compile(selector: str) -> list[list[_Part]]:
             else:
                 tag = element.lower()
         chain.append(_Part(relation, tag, tuple(tests), tuple(needles)))
-        alternatives.append(chain)
+        key = _drawer(chain[-1])
+        known = tests == [key] or (tag and not tests)
+        exact = len(chain) == 1 and relation == "" and bool(known) and not (tag and tests)
+        words = tuple(n for part in chain for n in part.needles)
+        alternatives.append(_Chain(tuple(chain), key, exact, words))
     return alternatives
 
 
@@ -220,7 +267,9 @@ def _fits(node: _Node, part: _Part) -> bool:
     return True
 
 
-def _matches(page: _Page, node: _Node, chain: list[_Part], root: _Node | None) -> bool:
+def _matches(
+    page: _Page, node: _Node, chain: tuple[_Part, ...], root: _Node | None
+) -> bool:
     if not _fits(node, chain[-1]):
         return False
     relation, rest = chain[-1].relation, chain[:-1]
@@ -253,12 +302,12 @@ class _Finder:
         self.then = _compile(rule.then) if rule.then else None
         self.chains = [*self.scope, *([self.target] if self.target else [])]
 
-    def possible(self, html: str) -> bool:
+    def possible(self, present: set[str]) -> bool:
         """A page without the literal parts of a selector cannot match it."""
-        return all(
-            any(all(n in html for p in chain for n in p.needles) for chain in alternatives)
-            for alternatives in self.chains
-        )
+        for alternatives in self.chains:
+            if not any(present.issuperset(chain.needles) for chain in alternatives):
+                return False
+        return True
 
     def run(self, page: _Page, root: _Node | None) -> list[tuple[int, int, str]]:
         rule, found = self.rule, []
@@ -283,7 +332,9 @@ class _Finder:
     def _take(self, page: _Page, node: _Node) -> str | None:
         if self.up:
             node = node.parent
-            while node is not None and not any(_matches(page, node, c, None) for c in self.up):
+            while node is not None and not any(
+                _matches(page, node, chain.parts, None) for chain in self.up
+            ):
                 node = node.parent
             if node is None:
                 return None
@@ -300,18 +351,36 @@ class _Finder:
         return next((v for v in values if v), None)
 
 
-def _select(page: _Page, root: _Node | None, alternatives: list[list[_Part]]) -> list[_Node]:
-    nodes = page.nodes if root is None else page.nodes[root.index + 1 : root.end]
-    return [n for n in nodes if any(_matches(page, n, chain, root) for chain in alternatives)]
+def _select(page: _Page, root: _Node | None, alternatives: list[_Chain]) -> list[_Node]:
+    low, high = (0, len(page.nodes)) if root is None else (root.index + 1, root.end)
+    found: list[_Node] = []
+    for chain in alternatives:
+        nodes = page.filed(chain.key, low, high)
+        if not chain.exact:
+            nodes = [n for n in nodes if _matches(page, n, chain.parts, root)]
+        found = found + nodes if found else nodes
+    if len(alternatives) > 1 and len(found) > 1:
+        return [n for _, n in sorted({n.index: n for n in found}.items())]
+    return found
+
+
+def _drawer(part: _Part) -> tuple:
+    """The most selective key under which a page files the elements a part can fit."""
+    for kind, name, value in part.tests:
+        if kind in ("equal", "word"):
+            return kind, name, value
+    for kind, name, _ in part.tests:
+        if kind in ("part", "has"):
+            return "has", name, None
+    return "tag", part.tag, None
 
 
-def _units(page: _Page, html: str, containers: list) -> list[_Node]:
+def _units(page: _Page, containers: list[list[_Chain]]) -> list[_Node]:
     """The cards of a page: all matches of the first container selector with any."""
     for alternatives in containers:
-        if all(n in html for chain in alternatives for p in chain for n in p.needles):
-            cards = _select(page, None, alternatives)
-            if cards:
-                return cards
+        cards = _select(page, None, alternatives)
+        if cards:
+            return cards
     return []
 
 
@@ -328,6 +397,16 @@ def _column(rows: list[list[tuple[int, int, str]]]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), items)
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Give a scan of few splits to all cores, for the CPU-bound stages behind it.
+
+    A scan that already has splits for half of the cores stays as it is: no
+    shuffle is added to large inputs.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if 2 * rows.rdd.getNumPartitions() > cores else rows.repartition(cores)
+
+
 def extract(
     pages: DataFrame,
     rules: list[Rule],
@@ -354,6 +433,7 @@ def extract(
 
     def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finders = [_Finder(rule) for rule in rules]
+        words = {n for f in finders for a in f.chains for chain in a for n in chain.needles}
         cards = [_compile(c) for c in containers or []]
         title = _Finder(Rule("title", "title", take="raw", first=True))
         for batch in batches:
@@ -361,9 +441,10 @@ def extract(
             columns: dict[str, list] = {name: [] for name in fields}
             for position, text in enumerate(batch.column(html).to_pylist()):
                 page = _Page(text or "")
-                usable = [f for f in finders if f.possible(text or "")]
+                present = {word for word in words if word in (text or "")}
+                usable = [f for f in finders if f.possible(present)]
                 name = next((t for _, _, t in title.run(page, None)), None)
-                units = _units(page, text or "", cards) if containers else [None]
+                units = _units(page, cards) if containers else [None]
                 for number, unit in enumerate(units or [None]):
                     source.append(position)
                     titles.append(name)
