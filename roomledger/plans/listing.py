@@ -37,14 +37,17 @@ def usable_cards(cards: DataFrame) -> DataFrame:
     return cards.where(F.col("unit").isNotNull() & ~blocked)
 
 
-def rejected_pages(search_pages: DataFrame, cards: DataFrame, key: str = "page_id") -> DataFrame:
-    """Pages for inspection: blocked or without any known card, with their HTML."""
+def rejected_pages(search_pages: DataFrame) -> DataFrame:
+    """Pages for inspection, with their HTML: block notices and pages without any known card.
+
+    One pass over the pages that only looks for the cards; nothing is joined.
+    """
+    found = extract(search_pages, [], fixed.CARD_CONTAINERS, keep_html=True)
     blocked = places.is_blocked(F.col("page_title"), F.col("url"))
     reason = F.when(blocked, F.lit("blocked")).when(F.col("unit").isNull(), F.lit("no cards"))
-    reasons = cards.where(F.col("unit").isNull() | (F.col("unit") == 0)).select(
-        key, reason.alias("reason")
-    )
-    return search_pages.join(reasons.where(F.col("reason").isNotNull()), key)
+    firsts = found.where(F.col("unit").isNull() | (F.col("unit") == 0))
+    rejected = firsts.withColumn("reason", reason).where(F.col("reason").isNotNull())
+    return rejected.select(*search_pages.columns, "reason")
 
 
 def card_records(

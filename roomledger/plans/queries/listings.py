@@ -436,6 +436,6 @@ def rejected_pages(spark: SparkSession, folder: str) -> DataFrame:
     made = search_pages(spark, folder).select("page_id", "url", "html", F.lit(1).alias("origin"))
     results = []
     for pages in (real, made):
-        rejected = listing.rejected_pages(pages, listing.extract_cards(pages))
-        results.append(rejected.select("page_id", "reason"))
-    return results[0].unionByName(results[1])
+        rejected = listing.rejected_pages(pages)
+        results.append(rejected.select("page_id", "reason", F.length("html").alias("size")))
+    return results[0].unionByName(results[1]).where(F.col("size") > 0).drop("size")

@@ -412,12 +412,14 @@ def extract(
     rules: list[Rule],
     containers: list[str] | None = None,
     html: str = "html",
+    keep_html: bool = False,
 ) -> DataFrame:
     """Replace the HTML column by one candidate array per field.
 
     With ``containers`` the result has a row per card, numbered by ``unit``,
     and one row with a null ``unit`` for a page without cards; without, a row
-    per page. ``title`` is the page title and ``units`` the number of cards.
+    per page. ``page_title`` is the title and ``units`` the number of cards.
+    ``keep_html`` passes the HTML on, once per page.
     """
     fields = list(dict.fromkeys(rule.field for rule in rules))
     kept = [f for f in pages.schema if f.name != html]
@@ -428,6 +430,7 @@ def extract(
             T.StructField("units", T.IntegerType()),
             T.StructField("unit", T.IntegerType()),
             *[T.StructField(name, CANDIDATES) for name in fields],
+            *([T.StructField(html, T.StringType())] if keep_html else []),
         ]
     )
 
@@ -456,6 +459,10 @@ def extract(
                     for field in fields:
                         columns[field].append(row[field])
             rest = batch.select([f.name for f in kept]).take(pa.array(source, pa.int64()))
+            whole = []
+            if keep_html:
+                once = [s if not n else None for s, n in zip(source, numbers)]
+                whole.append(batch.column(html).take(pa.array(once, pa.int64())))
             yield pa.RecordBatch.from_arrays(
                 [
                     *rest.columns,
@@ -463,6 +470,7 @@ def extract(
                     pa.array(counts, pa.int32()),
                     pa.array(numbers, pa.int32()),
                     *[_column(columns[field]) for field in fields],
+                    *whole,
                 ],
                 names=[f.name for f in schema],
             )
