@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roomledger import fixed_values as fixed
+from roomledger.operators.joins import null_safe_join
 
 
 def expected_pages(
@@ -29,7 +30,7 @@ def expected_pages(
 
 def missing(expected: DataFrame, observed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Expected rows without an observation."""
-    return expected.join(observed.select(*keys).distinct(), list(keys), "left_anti")
+    return null_safe_join(expected, observed.select(*keys).distinct(), keys, "left_anti")
 
 
 def before_first_gap(counts: DataFrame, partition: Sequence[str], page: str, n: str) -> DataFrame:
@@ -37,7 +38,7 @@ def before_first_gap(counts: DataFrame, partition: Sequence[str], page: str, n:
     gaps = counts.groupBy(*partition).agg(
         F.min(F.when(F.col(n) == 0, F.col(page))).alias("_gap")
     )
-    kept = counts.join(gaps, list(partition))
+    kept = null_safe_join(counts, gaps, partition)
     return kept.where(F.col("_gap").isNull() | (F.col(page) < F.col("_gap"))).drop("_gap")
 
 

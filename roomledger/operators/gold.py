@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roomledger.operators.joins import null_safe_join
+
 
 def daily_summary(
     silver: DataFrame,
@@ -40,7 +42,7 @@ def amenity_shares(
         .groupBy(*by, "tag")
         .agg(F.count(F.lit(1)).alias("tagged"))
     )
-    return tagged.join(totals, list(by)).withColumn("share", F.col("tagged") / F.col("listings"))
+    return null_safe_join(tagged, totals, by).withColumn("share", F.col("tagged") / F.col("listings"))
 
 
 def search(

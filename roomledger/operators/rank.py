@@ -7,13 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from roomledger.operators.joins import null_safe_join
+
 _DIGIT = 16
 
 
 def dense_rank_in(
     rows: DataFrame, groups: Sequence[str], value: str, name: str = "rank", digits: int = 3
 ) -> DataFrame:
-    """Add the dense rank of a non-negative integral column, highest first.
+    """Add the dense rank of a non-negative integral column, highest first, null without value.
 
     A window over a whole group would gather the group in one task. Here the
     distinct values are ranked digit by digit (16 bits each): a value's rank is
@@ -31,7 +33,7 @@ def dense_rank_in(
         last = d == digits - 1
         if not last:
             level = level.withColumn(upper, F.shiftright(F.col(key).cast("bigint"), _DIGIT))
-        window = Window.partitionBy(*groups, *([] if last else [upper])).orderBy(F.desc(key))
+        window = Window.partitionBy(*groups, *([] if last else [upper])).orderBy(F.desc_nulls_last(key))
         above = F.coalesce(
             F.sum("_n").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
         )
@@ -41,7 +43,8 @@ def dense_rank_in(
             key = upper
     ranked = levels[0]
     for d in range(1, digits):
-        ranked = ranked.join(levels[d], [*groups, f"_up{d - 1}"])
+        ranked = null_safe_join(ranked, levels[d], [*groups, f"_up{d - 1}"])
     total = sum((F.col(f"_above{d}") for d in range(1, digits)), F.col("_above0"))
     ranks = ranked.select(*groups, value, (total + 1).alias(name))
-    return rows.join(ranks, [*groups, value])
+    ranks = ranks.withColumn(name, F.when(F.col(value).isNotNull(), F.col(name)))
+    return null_safe_join(rows, ranks, [*groups, value])

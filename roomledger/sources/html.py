@@ -12,6 +12,7 @@ import re
 from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import cache
 from html import unescape
 from operator import attrgetter
 from typing import NamedTuple
@@ -50,6 +51,8 @@ _TAG = re.compile(
 )
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _BREAK = "\x00"
+_SPACE = re.compile(r"[ \t\r\n\f]+")
+_LINE = re.compile(rf" *{_BREAK}[ {_BREAK}]*")
 
 
 class _Node:
@@ -74,6 +77,8 @@ class _Page:
         self._open: list[_Node] = []
         self._children = [0]
         self._files: dict | None = None
+        self._texts: dict[int, str] = {}
+        self._selected: dict[tuple, list[_Node]] = {}
         self._read(html)
         while self._open:
             self._pop()
@@ -165,8 +170,19 @@ class _Page:
 
     def text(self, node: _Node) -> str:
         """Text as shown: white space collapsed, one line per block."""
-        joined = re.sub(r"[ \t\r\n\f]+", " ", "".join(self.pieces[node.start : node.stop]))
-        return re.sub(rf" *{_BREAK}[ {_BREAK}]*", "\n", joined).strip()
+        text = self._texts.get(node.index)
+        if text is None:
+            text = _SPACE.sub(" ", "".join(self.pieces[node.start : node.stop]))
+            text = self._texts[node.index] = _LINE.sub("\n", text).strip()
+        return text
+
+    def select(self, root: _Node | None, selector: str) -> list[_Node]:
+        """Elements inside of another that match; several fields ask for the same ones."""
+        key = (selector, -1 if root is None else root.index)
+        nodes = self._selected.get(key)
+        if nodes is None:
+            nodes = self._selected[key] = _select(self, root, _compile(selector))
+        return nodes
 
 
 def _decoded(text: str) -> str:
@@ -208,6 +224,7 @@ _TOKEN = re.compile(
 )
 
 
+@cache
 def _compile(selector: str) -> list[_Chain]:
     """The alternatives of a selector."""
     alternatives = []
@@ -296,11 +313,8 @@ class _Finder:
 
     def __init__(self, rule: Rule):
         self.rule = rule
-        self.target = None if rule.selector == ":self" else _compile(rule.selector)
-        self.scope = [_compile(s) for s in rule.scope]
-        self.up = _compile(rule.up) if rule.up else None
-        self.then = _compile(rule.then) if rule.then else None
-        self.chains = [*self.scope, *([self.target] if self.target else [])]
+        self.target = None if rule.selector == ":self" else rule.selector
+        self.chains = [_compile(s) for s in (*rule.scope, self.target) if s]
 
     def possible(self, present: set[str]) -> bool:
         """A page without the literal parts of a selector cannot match it."""
@@ -312,14 +326,14 @@ class _Finder:
     def run(self, page: _Page, root: _Node | None) -> list[tuple[int, int, str]]:
         rule, found = self.rule, []
         roots = [root]
-        for level, scope in enumerate(self.scope):
-            inside = _select(page, roots[0], scope)
-            keep_all = rule.each and level == len(self.scope) - 1
+        for level, scope in enumerate(rule.scope):
+            inside = page.select(roots[0], scope)
+            keep_all = rule.each and level == len(rule.scope) - 1
             roots = inside if keep_all else inside[:1]
             if not roots:
                 return found
         for number, base in enumerate(roots):
-            nodes = [base] if self.target is None else _select(page, base, self.target)
+            nodes = [base] if self.target is None else page.select(base, self.target)
             if rule.take == "count":
                 found.append((rule.prio, number, f"#{len(nodes)}"))
                 continue
@@ -330,16 +344,17 @@ class _Finder:
         return found
 
     def _take(self, page: _Page, node: _Node) -> str | None:
-        if self.up:
+        if self.rule.up:
+            above = _compile(self.rule.up)
             node = node.parent
             while node is not None and not any(
-                _matches(page, node, chain.parts, None) for chain in self.up
+                _matches(page, node, chain.parts, None) for chain in above
             ):
                 node = node.parent
             if node is None:
                 return None
-        if self.then:
-            inside = _select(page, node, self.then)
+        if self.rule.then:
+            inside = page.select(node, self.rule.then)
             if not inside:
                 return None
             node = inside[0]
@@ -355,15 +370,34 @@ def _select(page: _Page, root: _Node | None, alternatives: list[_Chain]) -> list
     low, high = (0, len(page.nodes)) if root is None else (root.index + 1, root.end)
     found: list[_Node] = []
     for chain in alternatives:
-        nodes = page.filed(chain.key, low, high)
-        if not chain.exact:
-            nodes = [n for n in nodes if _matches(page, n, chain.parts, root)]
+        if len(chain.parts) == 2 and chain.parts[1].relation == " ":
+            nodes = _inside(page, chain, low, high)
+        else:
+            nodes = page.filed(chain.key, low, high)
+            if not chain.exact:
+                nodes = [n for n in nodes if _matches(page, n, chain.parts, root)]
         found = found + nodes if found else nodes
     if len(alternatives) > 1 and len(found) > 1:
-        return [n for _, n in sorted({n.index: n for n in found}.items())]
+        return _ordered(found)
     return found
 
 
+def _inside(page: _Page, chain: _Chain, low: int, high: int) -> list[_Node]:
+    """Matches of "outer inner": from the few outer elements down, not from all inner ones up."""
+    outer, inner = chain.parts
+    found: list[_Node] = []
+    for node in page.filed(_drawer(outer), 0, len(page.nodes)):
+        start, stop = max(low, node.index + 1), min(high, node.end)
+        if start < stop and _fits(node, outer):
+            found += [n for n in page.filed(chain.key, start, stop) if _fits(n, inner)]
+    return _ordered(found) if len(found) > 1 else found
+
+
+def _ordered(nodes: list[_Node]) -> list[_Node]:
+    """Each element once, in document order."""
+    return [n for _, n in sorted({n.index: n for n in nodes}.items())]
+
+
 def _drawer(part: _Part) -> tuple:
     """The most selective key under which a page files the elements a part can fit."""
     for kind, name, value in part.tests:
@@ -375,10 +409,10 @@ def _drawer(part: _Part) -> tuple:
     return "tag", part.tag, None
 
 
-def _units(page: _Page, containers: list[list[_Chain]]) -> list[_Node]:
+def _units(page: _Page, containers: list[str]) -> list[_Node]:
     """The cards of a page: all matches of the first container selector with any."""
-    for alternatives in containers:
-        cards = _select(page, None, alternatives)
+    for selector in containers:
+        cards = page.select(None, selector)
         if cards:
             return cards
     return []
@@ -437,7 +471,6 @@ def extract(
     def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finders = [_Finder(rule) for rule in rules]
         words = {n for f in finders for a in f.chains for chain in a for n in chain.needles}
-        cards = [_compile(c) for c in containers or []]
         title = _Finder(Rule("title", "title", take="raw", first=True))
         for batch in batches:
             source, titles, counts, numbers = [], [], [], []
@@ -447,7 +480,7 @@ def extract(
                 present = {word for word in words if word in (text or "")}
                 usable = [f for f in finders if f.possible(present)]
                 name = next((t for _, _, t in title.run(page, None)), None)
-                units = _units(page, cards) if containers else [None]
+                units = _units(page, containers) if containers else [None]
                 for number, unit in enumerate(units or [None]):
                     source.append(position)
                     titles.append(name)

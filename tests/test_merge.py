@@ -89,3 +89,7 @@ def test_dense_rank_over_all_digits(spark):
         order = sorted({v for h, v in rows if h == g}, reverse=True)
         assert {v: got[g, v] for v in order} == {v: i + 1 for i, v in enumerate(order)}
     assert rank.dense_rank_in(table, ["g"], "v").count() == len(rows)
+    holes = spark.createDataFrame([(None, 3), (None, 9), ("a", None), ("a", 1)], "g string, v bigint")
+    ranked = rank.dense_rank_in(holes, ["g"], "v").collect()
+    assert {(r["g"], r["v"], r["rank"]) for r in ranked} == {
+        (None, 3, 2), (None, 9, 1), ("a", None, None), ("a", 1, 1)}
