@@ -26,6 +26,11 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def overlay(old: Column, new: Column, fields: Iterable[str]) -> Column:
+    """A struct updated with the non-null fields of another one."""
+    return F.struct(*[F.coalesce(new[f], old[f]).alias(f) for f in fields])
+
+
 def none_if_empty(text: Column) -> Column:
     return F.nullif(text, F.lit(""))
 

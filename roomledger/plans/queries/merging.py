@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roomledger.functions.text import overlay
 from roomledger.operators import history, merge
 from roomledger.plans.queries.registry import query, table
 
@@ -62,9 +63,7 @@ def observation_upsert(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query(
-    "store_batch_upsert",
-    f"""
+STORE_BATCH_SQL = f"""
     WITH o AS (SELECT *, CASE WHEN event_type IN ('view', 'click', 'error') THEN 0 ELSE 1 END AS late
                FROM ({OBSERVATIONS_SQL})),
     r AS (SELECT *, row_number() OVER (PARTITION BY item_id, day ORDER BY late, rn) AS n FROM o)
@@ -73,8 +72,10 @@ def observation_upsert(spark: SparkSession, folder: str) -> DataFrame:
            coalesce(arg_max(note, length(note) * 1000000000 - n) FILTER (length(note) >= 20),
                     arg_max(note, n)) AS note
     FROM r GROUP BY item_id, day
-    """,
-)
+"""
+
+
+@query("store_batch_upsert", STORE_BATCH_SQL)
 def store_batch_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """A batch merged into a store: stored rows come first, whatever their time."""
     rows = observations(spark, folder).drop("props")
@@ -201,3 +202,29 @@ def enrich_left(spark: SparkSession, folder: str) -> DataFrame:
         F.when(found, F.col("o_totalprice")).otherwise(F.col("c_acctbal")).alias("amount"),
         found.alias("enriched"),
     )
+
+
+@query(
+    "struct_overlay",
+    """SELECT d.doc_id, coalesce(CAST(l.quality AS BIGINT), length(d.lang)) AS quality,
+              coalesce(CAST(l.toxic AS BIGINT), 0) AS toxic, d.source
+       FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
+)
+def struct_overlay(spark: SparkSession, folder: str) -> DataFrame:
+    """Defaults with the non-null fields of a sparse record over them, tagged with the source."""
+    fields = ["quality", "toxic"]
+    labels = table(spark, folder, "labels").select(
+        F.col("doc_id").alias("l_id"),
+        F.struct(*[F.col(f).cast("bigint").alias(f) for f in fields]).alias("new"),
+    )
+    documents = table(spark, folder, "documents").select(
+        "doc_id",
+        "source",
+        F.struct(
+            F.length("lang").cast("bigint").alias("quality"), F.lit(0).cast("bigint").alias("toxic")
+        ).alias("old"),
+    )
+    joined = documents.join(labels, F.col("doc_id") == F.col("l_id"), "left")
+    return joined.withColumn("r", overlay(F.col("old"), F.col("new"), fields)).select(
+        "doc_id", "r.quality", "r.toxic", "source"
+    )

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roomledger.operators import gold, merge
-from roomledger.plans.queries.merging import MERGED_SQL, NOTE, SEQ, observations
+from roomledger.plans.filestore import upsert_files
+from roomledger.plans.queries.merging import MERGED_SQL, NOTE, SEQ, STORE_BATCH_SQL, observations
 from roomledger.plans.queries.registry import query, table
 from roomledger.schema import BIGINT, DATE, DOUBLE, STRING, TIMESTAMP_NTZ, struct
 from roomledger.session import scratch
@@ -243,3 +244,44 @@ def batch_split_merge(spark: SparkSession, folder: str) -> DataFrame:
     return merged.select(
         "item_id", F.col("day").cast("string").alias("day"), "value", "props", "note"
     )
+
+
+STORED = struct(item_id=BIGINT, day=STRING, value=DOUBLE, event_type=STRING, note=STRING)
+
+
+@query("file_store_upsert", STORE_BATCH_SQL)
+def file_store_upsert(spark: SparkSession, folder: str) -> DataFrame:
+    """Two upserts into the store of line files, the result read back from its CSV."""
+    home = scratch(spark, "filestore")
+    rows = observations(spark, folder).withColumn("day", F.col("day").cast("string"))
+    early = F.col("event_type").isin("view", "click", "error")
+    keys = ("item_id", "day")
+    upsert_files(spark, rows.where(early), SEQ, None, f"{home}/one", None, keys, STORED)
+    upsert_files(
+        spark, rows.where(~early), SEQ, f"{home}/one", f"{home}/two", f"{home}/csv", keys, STORED
+    )
+    return csvfile.read_csv(spark, f"{home}/csv", STORED)
+
+
+@query(
+    "file_store_counters",
+    """
+    WITH e AS (SELECT user_id, CAST(ts AS DATE) AS day,
+                      event_type IN ('view', 'click', 'error') AS stored FROM events),
+    k AS (SELECT user_id, day, bool_or(stored) AS old, count_if(NOT stored) AS arrived
+          FROM e GROUP BY user_id, day)
+    SELECT CAST(count_if(NOT old) AS BIGINT) AS inserted,
+           CAST(sum(arrived) - count_if(NOT old) AS BIGINT) AS updated, count(*) AS total
+    FROM k
+    """,
+)
+def file_store_counters(spark: SparkSession, folder: str) -> DataFrame:
+    """What the second upsert of the file store reports."""
+    home = scratch(spark, "filestore")
+    rows = observations(spark, folder).withColumn("day", F.col("day").cast("string"))
+    early = F.col("event_type").isin("view", "click", "error")
+    keys = ("item_id", "day")
+    upsert_files(spark, rows.where(early), SEQ, None, f"{home}/one", None, keys, STORED)
+    return upsert_files(
+        spark, rows.where(~early), SEQ, f"{home}/one", f"{home}/two", None, keys, STORED
+    )

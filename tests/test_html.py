@@ -70,6 +70,10 @@ def test_daily_run(spark, tmp_path):
     inn = silver["inn"]
     assert inn["name"] == "Inn by the river, quiet rooms" and inn["latitude"] == 16.4
     assert inn["facilities_all"] == {"Food": ["Cafe"]} and inn["availability_status"] == "available"
+    kept = spark.read.schema(daily.SILVER).parquet(str(tmp_path / "s"))
+    assert listing.child_rooms(kept).count() == 0
+    assert listing.child_amenities(kept).count() == 0
+    assert listing.child_review_categories(kept).count() == 0
     complete, counts = daily.report(run)
     assert {r["field"]: (r["filled"], r["percent"]) for r in complete.collect()}["name"] == (2, 66)
     assert [tuple(r) for r in counts.collect()] == [("Hue", 0, 3, 2, 1)]

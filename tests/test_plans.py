@@ -30,7 +30,7 @@ WITH_PYTHON = {
 WRITING = {
     "daily_silver", "jsonl_roundtrip", "jsonl_scan", "jsonl_line_counts", "csv_roundtrip",
     "csv_rebuild", "snapshot_lines", "medallion", "stream_upsert", "stream_replays",
-    "batch_split_merge",
+    "batch_split_merge", "file_store_upsert", "file_store_counters",
 }
 
 

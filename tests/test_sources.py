@@ -73,6 +73,41 @@ def test_flat_columns_match_schema():
         "badges": "array<string>", "rating_score": "double"}
 
 
+def test_file_store(spark, tmp_path):
+    from roomledger.plans.filestore import upsert_files
+
+    def batch(*rows):
+        full = [dict({c: None for c in FLAT.names}, scrape_date="d", **r) for r in rows]
+        table = spark.createDataFrame([tuple(r[c] for c in FLAT.names) for r in full], FLAT)
+        return table.coalesce(1).selectExpr("*", "monotonically_increasing_id() as seq")
+
+    first = batch({"hotel_id": "a", "name": "x" * 25, "badges": '["a", "b", "c", "d", "e"]', "rating_score": 8.0},
+                  {"hotel_id": "a", "name": "y" * 24, "badges": "[]"}, {"hotel_id": None, "name": "lost"})
+    got = upsert_files(spark, first, ["seq"], None, str(tmp_path / "1"), str(tmp_path / "c1"))
+    assert tuple(got.first()) == (2, 1, 2)
+    second = batch({"hotel_id": "a", "name": "z" * 26, "badges": '["f"]', "rating_score": 7.5}, {"hotel_id": "b"})
+    got = upsert_files(spark, second, ["seq"], str(tmp_path / "1"), str(tmp_path / "2"), str(tmp_path / "c2"))
+    assert tuple(got.first()) == (1, 1, 3)
+    rows = {r["hotel_id"]: r for r in jsonl.read_store(spark, str(tmp_path / "2")).collect()}
+    assert set(rows) == {"a", "b", ""}
+    assert (rows["a"]["name"], rows["a"]["badges"], rows["a"]["rating_score"]) == (
+        "z" * 26, '["a", "b", "c", "d", "e"]', 7.5)
+    assert csvfile.read_csv(spark, str(tmp_path / "c2")).count() == 3
+
+
+def test_html_files(spark, tmp_path):
+    from roomledger.sources.html import extract
+    from roomledger.sources.matchers import web_rules
+    from roomledger.sources.pages import read_html_files
+
+    (tmp_path / "in" / "deep").mkdir(parents=True)
+    (tmp_path / "in" / "a.html").write_text("<title>Một</title><h1>x</h1>", encoding="utf-8")
+    (tmp_path / "in" / "deep" / "b.html").write_text("<title>Hai</title>", encoding="utf-8")
+    (tmp_path / "in" / "c.txt").write_text("no", encoding="utf-8")
+    pages = extract(read_html_files(spark, str(tmp_path / "in")), web_rules())
+    assert {r["page_title"] for r in pages.collect()} == {"Một", "Hai"}
+
+
 def test_publish(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         layers.publish_snapshot(spark, str(tmp_path / "missing"), str(tmp_path / "out"))
