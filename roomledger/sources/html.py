@@ -56,13 +56,19 @@ _LINE = re.compile(rf" *{_BREAK}[ {_BREAK}]*")
 
 
 class _Node:
-    __slots__ = ("tag", "attrs", "parent", "place", "index", "end", "start", "stop", "raw")
+    """An element: its index and the one after its last descendant, its range of text
+    pieces, and its range in the source."""
 
-    def __init__(self, tag, attrs, parent, place, index, start):
+    __slots__ = (
+        "tag", "attrs", "parent", "place", "index", "end", "start", "stop", "raw", "opened", "closed"
+    )
+
+    def __init__(self, tag, attrs, parent, place, index, start, opened):
         self.tag, self.attrs, self.parent = tag, attrs, parent
         self.place, self.index, self.end = place, index, index + 1
         self.start = self.stop = start
         self.raw = ""
+        self.opened = self.closed = opened
 
 
 _index = attrgetter("index")
@@ -76,6 +82,7 @@ class _Page:
         self.pieces: list[str] = []
         self._open: list[_Node] = []
         self._children = [0]
+        self._from = 0
         self._files: dict | None = None
         self._texts: dict[int, str] = {}
         self._selected: dict[tuple, list[_Node]] = {}
@@ -88,7 +95,7 @@ class _Page:
         while (m := _TAG.search(html, at)) is not None:
             if m.start() > at:
                 self.pieces.append(_decoded(html[at : m.start()]))
-            at = m.end()
+            self._from, at = m.start(), m.end()
             closing, name, attributes = m.groups()
             if name is None:
                 continue
@@ -109,6 +116,7 @@ class _Page:
                 self._pop()
         if at < len(html):
             self.pieces.append(_decoded(html[at:]))
+        self._from = len(html)
 
     def _begin(self, tag: str, attributes: str):
         if tag in _SELF_CLOSING:
@@ -125,7 +133,7 @@ class _Page:
         self._children[-1] += 1
         parent = self._open[-1] if self._open else None
         place, index, start = self._children[-1], len(self.nodes), len(self.pieces)
-        node = _Node(tag, _attributes(attributes), parent, place, index, start)
+        node = _Node(tag, _attributes(attributes), parent, place, index, start, self._from)
         self.nodes.append(node)
         if tag not in _VOID:
             self._open.append(node)
@@ -142,7 +150,7 @@ class _Page:
         self._children.pop()
         if node.tag in _BLOCK:
             self.pieces.append(_BREAK)
-        node.stop, node.end = len(self.pieces), len(self.nodes)
+        node.stop, node.end, node.closed = len(self.pieces), len(self.nodes), self._from
 
     def filed(self, key: tuple, low: int, high: int) -> list[_Node]:
         """Elements by tag, attribute, attribute value or class word, in document order.
@@ -302,7 +310,7 @@ def _matches(
     while above is not None:
         if _matches(page, above, rest, root):
             return True
-        if relation == ">":
+        if relation == ">" or above is root:
             return False
         above = above.parent
     return False
@@ -383,10 +391,13 @@ def _select(page: _Page, root: _Node | None, alternatives: list[_Chain]) -> list
 
 
 def _inside(page: _Page, chain: _Chain, low: int, high: int) -> list[_Node]:
-    """Matches of "outer inner": from the few outer elements down, not from all inner ones up."""
+    """Matches of "outer inner", from the few outer elements down.
+
+    The unit itself may be the outer element, elements around it may not.
+    """
     outer, inner = chain.parts
     found: list[_Node] = []
-    for node in page.filed(_drawer(outer), 0, len(page.nodes)):
+    for node in page.filed(_drawer(outer), max(low - 1, 0), high):
         start, stop = max(low, node.index + 1), min(high, node.end)
         if start < stop and _fits(node, outer):
             found += [n for n in page.filed(chain.key, start, stop) if _fits(n, inner)]
@@ -482,12 +493,17 @@ def extract(
                 name = next((t for _, _, t in title.run(page, None)), None)
                 units = _units(page, containers) if containers else [None]
                 for number, unit in enumerate(units or [None]):
+                    able = usable
+                    if unit is not None:
+                        part = text[unit.opened : unit.closed]
+                        inside = {word for word in present if word in part}
+                        able = [f for f in usable if f.possible(inside)]
                     source.append(position)
                     titles.append(name)
                     counts.append(len(units))
                     numbers.append(number if units else None)
                     row: dict[str, list] = {field: [] for field in fields}
-                    for finder in usable if units else []:
+                    for finder in able if units else []:
                         row[finder.rule.field].extend(finder.run(page, unit))
                     for field in fields:
                         columns[field].append(row[field])
