@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
 from functools import cache
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -25,6 +27,25 @@ def local_session(cpus: int | str = "*", name: str = "roomledger") -> SparkSessi
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the package to the Python workers of all executors, once per application.
+
+    The archive is made on the driver, and Spark itself hands it out from there.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="roomledger-")) / package.name
+    context.addPyFile(
+        shutil.make_archive(str(archive), "zip", root_dir=package.parent, base_dir=package.name)
+    )
+    _SHIPPED.add(context.applicationId)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors reach, as named by spark.checkpoint.dir.
 

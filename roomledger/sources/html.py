@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from roomledger.session import ship_package
 from roomledger.sources.matchers import Rule
 
 CANDIDATES = T.ArrayType(
@@ -466,6 +467,7 @@ def extract(
     per page. ``page_title`` is the title and ``units`` the number of cards.
     ``keep_html`` passes the HTML on, once per page.
     """
+    ship_package(pages.sparkSession)
     fields = list(dict.fromkeys(rule.field for rule in rules))
     kept = [f for f in pages.schema if f.name != html]
     schema = T.StructType(

@@ -100,3 +100,23 @@ def test_json_text(spark):
     texts = row.select(*[json_text(F.col(f.name), f.dataType) for f in row.schema]).first()
     expected = [values[0], values[1], [{"n": "x", "k": None, "p": 15000000.0}]]
     assert list(texts) == [json.dumps(v, ensure_ascii=False) for v in expected]
+
+
+def test_workers_do_not_need_the_repository_folder(tmp_path):
+    """A session started elsewhere, with the package only on the driver's path."""
+    import pathlib
+    import subprocess
+    import sys
+
+    root = pathlib.Path(__file__).resolve().parents[1]
+    code = (
+        f"import sys; sys.path.insert(0, {str(root)!r})\n"
+        "from pyspark.sql import SparkSession\n"
+        "spark = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "import __spark_entry__ as entry\n"
+        "print(entry.queries()['page_fields'](spark, '/root/testdata/sf0.001').count())\n"
+    )
+    done = subprocess.run(
+        [sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120
+    )
+    assert done.stdout.strip().splitlines()[-1:] == ["50"], done.stderr[-500:]
