@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from roomledger.llm import quality
+from roomledger.llm import quality, simhash
+from roomledger.llm.common import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,3 +31,12 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
         "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept",
     )
+
+
+@query
+def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    rows = stored(simhash.with_fingerprint(docs).select("doc_id", "fp"), "simhash-rows")
+    return simhash.grouped(rows).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    )
