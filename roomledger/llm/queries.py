@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomledger.llm import quality, simhash
+from roomledger.llm import licenses, quality, simhash
 from roomledger.llm.common import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,3 +40,8 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.grouped(rows).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+@query
+def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scanned(table(spark, folder, "documents"))
