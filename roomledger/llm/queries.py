@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomledger.llm import licenses, quality, simhash
+from roomledger.llm import licenses, quality, secrets, simhash
 from roomledger.llm.common import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,3 +45,8 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scanned(table(spark, folder, "documents"))
+
+
+@query
+def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.scanned(table(spark, folder, "documents"))
