@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomledger.llm import licenses, quality, secrets, simhash
+from roomledger.llm import licenses, quality, secrets, simhash, topk
 from roomledger.llm.common import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,3 +50,9 @@ def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scanned(table(spark, folder, "documents"))
+
+
+@query
+def op7_topk_search(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = topk.quantised(table(spark, folder, "embeddings"))
+    return topk.search(vectors, vectors.where("vec_id % 50 = 0"))
