@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomledger.llm import licenses, quality, secrets, simhash, topk
+from roomledger.llm import licenses, quality, secrets, simhash, topk, webtext
 from roomledger.llm.common import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,3 +56,8 @@ def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 def op7_topk_search(spark: SparkSession, folder: str) -> DataFrame:
     vectors = topk.quantised(table(spark, folder, "embeddings"))
     return topk.search(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+@query
+def op8_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return webtext.extracted(table(spark, folder, "pages"))
