@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomledger.llm import licenses, quality, secrets, simhash, topk, webtext
+from roomledger.llm import bpe, licenses, quality, secrets, simhash, topk, webtext
 from roomledger.llm.common import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,3 +62,12 @@ def op7_topk_search(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return webtext.extracted(table(spark, folder, "pages"))
+
+
+@query
+def op2_bpe_coding(spark: SparkSession, folder: str) -> DataFrame:
+    coded = bpe.coded(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return coded.select(
+        "doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
