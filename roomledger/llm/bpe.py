@@ -35,7 +35,9 @@ from roomledger.llm.common import text_of, words_of
 from roomledger.session import ship_package
 
 #: Largest number of frequent words that the lexicon holds.
-LEXICON = 50_000
+LEXICON = 100_000
+#: Merged words that a worker remembers; when it is full it starts anew.
+REMEMBERED = 300_000
 _END = "</w>"
 
 
@@ -67,21 +69,21 @@ class Rules:
         """The ids of one word, by merging the pair of lowest rank until none is left."""
         parts = [self.letters[b] for b in word.encode()]
         parts[-1] += _END
-        while len(parts) > 1:
-            rank, best = min(
-                (self.ranks.get(pair, len(self.ranks)), pair) for pair in zip(parts, parts[1:])
-            )
-            if rank == len(self.ranks):
-                break
-            out, i = [], 0
-            while i < len(parts):
-                if i + 1 < len(parts) and (parts[i], parts[i + 1]) == best:
-                    out.append(parts[i] + parts[i + 1])
-                    i += 2
-                else:
-                    out.append(parts[i])
-                    i += 1
-            parts = out
+        none, rank_of = len(self.ranks), self.ranks.get
+        ranks = [rank_of(pair, none) for pair in zip(parts, parts[1:])]
+        while ranks and (rank := min(ranks)) < none:
+            i = ranks.index(rank)
+            left, right = parts[i], parts[i + 1]
+            # All pairs of this rank, from the left; a merge changes the ranks beside it only.
+            while i < len(ranks):
+                if ranks[i] == rank and parts[i] == left and parts[i + 1] == right:
+                    parts[i : i + 2] = [left + right]
+                    del ranks[i]
+                    if i:
+                        ranks[i - 1] = rank_of((parts[i - 1], parts[i]), none)
+                    if i < len(ranks):
+                        ranks[i] = rank_of((parts[i], parts[i + 1]), none)
+                i += 1
         return [self.ids[p] for p in parts if p in self.ids]
 
 
@@ -244,6 +246,7 @@ class Coder:
     def __init__(self, rules: Rules, lexicon: Lexicon):
         self.rules, self.lexicon, self.words = rules, lexicon, Words(rules)
         self.bytes_of = [i.to_bytes(4, "little") for i in range(len(rules.pieces))]
+        self.merged: dict[str, bytes] = {}
 
     def encoded(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit integers. Each different word is looked up once."""
@@ -256,7 +259,7 @@ class Coder:
             if number >= 0:
                 known[word] = lexicon.ids[lexicon.starts[number] : lexicon.starts[number + 1]].tobytes()
             else:
-                known[word] = b"".join(self.bytes_of[i] for i in self.rules.merged(word))
+                known[word] = self._merged(word)
         out = []
         for p in parts:
             pieces = []
@@ -267,6 +270,14 @@ class Coder:
             out.append(b"".join(pieces))
         return out
 
+    def _merged(self, word: str) -> bytes:
+        ids = self.merged.get(word)
+        if ids is None:
+            if len(self.merged) >= REMEMBERED:
+                self.merged.clear()
+            ids = self.merged[word] = b"".join(map(self.bytes_of.__getitem__, self.rules.merged(word)))
+        return ids
+
     def decoded(self, ids: bytes) -> str:
         return " ".join(map(self.rules.pieces.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
