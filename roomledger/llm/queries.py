@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomledger.llm import bpe, licenses, quality, secrets, simhash, topk, webtext
+from roomledger.llm import bpe, licenses, packing, quality, secrets, simhash, topk, webtext
 from roomledger.llm.common import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,3 +71,8 @@ def op2_bpe_coding(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(table(spark, folder, "documents"))
