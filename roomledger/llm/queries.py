@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomledger.llm import bpe, licenses, packing, quality, secrets, simhash, topk, webtext
+from roomledger.llm import bpe, licenses, lm, packing, quality, secrets, simhash, topk, webtext
 from roomledger.llm.common import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,3 +76,8 @@ def op2_bpe_coding(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"))
+
+
+@query
+def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.scored(table(spark, folder, "documents"))
