@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomledger.llm import bpe, licenses, lm, packing, quality, secrets, simhash, topk, webtext
+from roomledger.llm import bpe, licenses, lm, packing, quality, repeats, secrets, simhash, topk, webtext
 from roomledger.llm.common import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,3 +81,12 @@ def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return lm.scored(table(spark, folder, "documents"))
+
+
+@query
+def op10_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return repeats.removed(docs).select(
+        "doc_id", F.col("_n_bytes").alias("n_bytes"), F.col("_n_removed").alias("n_removed"),
+        F.col("_n_spans").alias("n_spans"), F.sha2("_kept", 256).alias("kept_sha256"),
+    )
