@@ -19,7 +19,7 @@ def _quoted(text: Column) -> Column:
 
 def _decimal(value: Column) -> Column:
     """A double without exponent between 1e7 and 1e16, as a plain decimal."""
-    plain = value.cast("decimal(30,6)").cast("string")
+    plain = value.cast("string").cast("decimal(38,18)").cast("string")  # the shortest digits
     plain = F.regexp_replace(F.regexp_replace(plain, r"0+$", ""), r"\.$", ".0")
     large = (F.abs(value) >= 1e7) & (F.abs(value) < 1e16)
     return F.when(large, plain).otherwise(value.cast("string"))

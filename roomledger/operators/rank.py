@@ -22,9 +22,14 @@ def dense_rank_in(
     its place among the values that share its leading digits plus the number of
     values with a higher leading part. Every window partition holds at most
     65,536 rows below the top digit, and the top one does for values under
-    2 ** (16 * digits).
+    2 ** (16 * digits); a value beyond that ends the job.
     """
     groups = list(groups)
+    limit = 1 << (_DIGIT * digits)
+    whole = F.col(value).cast("bigint")
+    fits = F.col(value).isNull() | ((whole >= 0) & (whole < limit))
+    message = F.lit(f"{value} is not between 0 and 2 ** {_DIGIT * digits} - 1")
+    rows = rows.withColumn(value, F.when(fits, F.col(value)).otherwise(F.raise_error(message)))
     level = rows.select(*groups, value).distinct().withColumn("_n", F.lit(1).cast("bigint"))
     key = value
     levels = []

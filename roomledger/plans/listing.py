@@ -38,13 +38,18 @@ def usable_cards(cards: DataFrame) -> DataFrame:
 
 
 def rejected_pages(search_pages: DataFrame) -> DataFrame:
-    """Pages for inspection, with their HTML: block notices and pages without any known card.
+    """Pages for inspection, with their HTML: block notices, pages without any known card,
+    empty pages among them, and pages that could not be read.
 
     One pass over the pages that only looks for the cards; nothing is joined.
     """
     found = extract(search_pages, [], fixed.CARD_CONTAINERS, keep_html=True)
     blocked = places.is_blocked(F.col("page_title"), F.col("url"))
-    reason = F.when(blocked, F.lit("blocked")).when(F.col("unit").isNull(), F.lit("no cards"))
+    reason = (
+        F.when(F.col("page_error").isNotNull(), F.concat(F.lit("unreadable: "), "page_error"))
+        .when(blocked, F.lit("blocked"))
+        .when(F.col("unit").isNull(), F.lit("no cards"))
+    )
     firsts = found.where(F.col("unit").isNull() | (F.col("unit") == 0))
     rejected = firsts.withColumn("reason", reason).where(F.col("reason").isNotNull())
     return rejected.select(*search_pages.columns, "reason")

@@ -16,7 +16,7 @@ from roomledger.plans import daily, listing
 from roomledger.plans.queries.registry import query, table
 from roomledger.session import scratch
 from roomledger.sources import layers
-from roomledger.sources.html import spread
+from roomledger.session import dealt
 
 
 def fill(template: str, values: dict[str, Column]) -> Column:
@@ -79,7 +79,7 @@ def search_pages(spark: SparkSession, folder: str) -> DataFrame:
     html = fill(
         PAGE, {**values, "first": fill(CARD, values), "second": fill(ANNEX, values)}
     )
-    return spread(table(spark, folder, "orders")).select(
+    return dealt(table(spark, folder, "orders")).select(
         k.alias("page_id"),
         fill("https://www.example.com/search?offset={k}", values).alias("url"),
         html.alias("html"),
@@ -131,7 +131,7 @@ def detail_pages(spark: SparkSession, folder: str) -> DataFrame:
     html = fill(DETAIL.replace("{broken<", "{broken}<"), values)
     kept = F.col("c_mktsegment") != "MACHINERY"
     html = F.when(kept, html).otherwise(F.regexp_replace(html, "property-description", "other"))
-    return spread(table(spark, folder, "customer")).select(
+    return dealt(table(spark, folder, "customer")).select(
         c.alias("page_id"),
         fill("https://www.example.com/hotel/vn/stay-{c}.html", values).alias("url"),
         html.alias("html"),
@@ -432,10 +432,10 @@ def daily_silver(spark: SparkSession, folder: str) -> DataFrame:
 )
 def rejected_pages(spark: SparkSession, folder: str) -> DataFrame:
     """Pages to look at: block notices and pages without a known card."""
-    real = spread(table(spark, folder, "pages")).select("page_id", "url", "html", F.lit(0).alias("origin"))
+    real = dealt(table(spark, folder, "pages")).select("page_id", "url", "html", F.lit(0).alias("origin"))
     made = search_pages(spark, folder).select("page_id", "url", "html", F.lit(1).alias("origin"))
     results = []
     for pages in (real, made):
         rejected = listing.rejected_pages(pages)
-        results.append(rejected.select("page_id", "reason", F.length("html").alias("size")))
-    return results[0].unionByName(results[1]).where(F.col("size") > 0).drop("size")
+        results.append(rejected.select("page_id", "reason"))
+    return results[0].unionByName(results[1])

@@ -13,7 +13,7 @@ from roomledger.plans.queries.registry import query, table
 from roomledger.schema import BIGINT, DATE, DOUBLE, STRING, TIMESTAMP_NTZ, struct
 from roomledger.session import scratch
 from roomledger.sources import csvfile, jsonl, layers
-from roomledger.streaming.upsert import upsert_stream, without_replays
+from roomledger.streaming.upsert import upsert_stream
 
 ORDER = struct(
     o_orderkey=BIGINT, o_custkey=BIGINT, o_orderstatus=STRING, o_totalprice=DOUBLE,
@@ -197,22 +197,19 @@ def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
     "SELECT event_id, user_id, event_type, value FROM events",
 )
 def stream_replays(spark: SparkSession, folder: str) -> DataFrame:
-    """Every event delivered twice; the copies are dropped within the watermark."""
+    """Every event delivered twice, the copies in other batches; the upsert keeps each once."""
     home = scratch(spark, "replay")
-    events = table(spark, folder, "events")
-    events.unionByName(events).write.parquet(f"{home}/in")
-    stream = spark.readStream.schema(EVENT).parquet(f"{home}/in")
-    timed = stream.withColumn("time", F.col("ts").cast("timestamp"))
-    once = without_replays(timed, "time", ["event_id"], "60 days").drop("time")
-    running = (
-        once.writeStream.format("parquet")
-        .option("checkpointLocation", f"{home}/checkpoint")
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start(f"{home}/out")
+    events = table(spark, folder, "events").withColumn("day", F.to_date("ts"))
+    for _ in range(2):
+        events.repartition(2, "event_id").write.mode("append").parquet(f"{home}/in")
+    schema = T.StructType([*EVENT.fields, T.StructField("day", DATE)])
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{home}/in")
+    running = upsert_stream(
+        stream, f"{home}/bronze", f"{home}/silver", f"{home}/checkpoint", ["event_id", "day"], [], "day"
     )
     running.awaitTermination()
-    return spark.read.schema(EVENT).parquet(f"{home}/out").select(
+    silver = T.StructType([f for f in schema if f.name != "day"])
+    return spark.read.schema(silver).parquet(f"{home}/silver").select(
         "event_id", "user_id", "event_type", "value"
     )
 
@@ -232,14 +229,8 @@ def batch_split_merge(spark: SparkSession, folder: str) -> DataFrame:
     for number, kind in enumerate(["view", "click", "error", "signup", "purchase"]):
         layers.put_batch(rows.where(F.col("note").startswith(kind)), home, number, "day")
     layers.put_batch(rows.where(F.col("note").startswith("click")), home, 1, "day")
-    stored = T.StructType(
-        [
-            *[f for f in rows.schema if f.name != "day"],
-            T.StructField("ingest", T.LongType()),
-            rows.schema["day"],
-        ]
-    )
-    history = layers.read_layer(spark, home, stored).drop("ingest")
+    history = layers.read_layer(spark, home, layers.bronze_schema(rows.schema, "day"))
+    history = history.drop(*layers.ARRIVAL)
     merged = merge.merge_rows(history, ["item_id", "day"], SEQ)
     return merged.select(
         "item_id", F.col("day").cast("string").alias("day"), "value", "props", "note"

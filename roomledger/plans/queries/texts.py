@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from roomledger import fixed_values as fixed
 from roomledger.functions import lists, numbers, places, reviews, text
 from roomledger.plans.queries.registry import query, table, values_sql
-from roomledger.sources.html import spread
+from roomledger.session import dealt
 
 
 def candidates(*texts: Column, prios: list[int] | None = None) -> Column:
@@ -59,7 +59,7 @@ PRICE_TEXT = f"""CASE l_linenumber % 6
     """,
 )
 def price_parse(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(table(spark, folder, "lineitem")).select(
+    return dealt(table(spark, folder, "lineitem")).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         numbers.price(F.expr(PRICE_TEXT)).alias("price"),
     )
@@ -88,7 +88,7 @@ TAX_TEXT = (
     """,
 )
 def discount_and_tax(spark: SparkSession, folder: str) -> DataFrame:
-    rows = spread(table(spark, folder, "lineitem")).select(
+    rows = dealt(table(spark, folder, "lineitem")).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag",
         F.expr(f"CASE WHEN l_discount > 0.09D THEN NULL ELSE CAST({AMOUNT} AS DOUBLE) END").alias("o"),
         F.expr(f"CASE WHEN l_tax > 0.07D THEN 0.0D ELSE CAST({CURRENT} AS DOUBLE) END").alias("c"),
@@ -106,7 +106,7 @@ def discount_and_tax(spark: SparkSession, folder: str) -> DataFrame:
     "original_price_candidates",
     f"""
     SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-           CAST(CASE WHEN l_returnflag = 'A' THEN 7 WHEN {AMOUNT} > 0 THEN {AMOUNT} * 1000 END AS DOUBLE)
+           CAST(CASE WHEN l_returnflag = 'A' THEN 7 WHEN {AMOUNT} > 0 THEN {AMOUNT} * 1000 ELSE 9 END AS DOUBLE)
                AS struck_price,
            CASE l_returnflag WHEN 'N' THEN 'breakfast included' WHEN 'R' THEN 'room only' END AS meal_plan
     FROM lineitem
@@ -127,10 +127,8 @@ def original_price_candidates(spark: SparkSession, folder: str) -> DataFrame:
         F.when(flag == "N", F.lit(" breakfast included")).otherwise(never),
         F.when(flag == "R", F.lit("room only")).otherwise(F.lit("")),
     )
-    rows = spread(table(spark, folder, "lineitem")).withColumns({"struck": struck, "meals": meals})
+    rows = dealt(table(spark, folder, "lineitem")).withColumns({"struck": struck, "meals": meals})
     value = text.first_of(F.col("struck"), lambda c: numbers.price(c["text"]))
-    # where the amount is zero the last candidate would count
-    value = F.when((value == 9) & (flag != "A"), F.lit(None)).otherwise(value)
     return rows.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         value.alias("struck_price"), text.first_text(F.col("meals")).alias("meal_plan"),
@@ -154,7 +152,7 @@ SCORE_TEXT = f"""CASE event_type
     "score_parse",
     f"""
     WITH v AS (SELECT event_id, CAST(CASE
-                 WHEN event_type IN ('view', 'click') AND NOT ({WHOLE} > 9 AND false)
+                 WHEN event_type IN ('view', 'click')
                       THEN {WHOLE} + ({TENTH}) / 10.0
                  WHEN event_type = 'signup' THEN {TENTH}
                  ELSE {WHOLE} END AS DOUBLE) AS v FROM events)
@@ -164,7 +162,7 @@ SCORE_TEXT = f"""CASE event_type
 def score_parse(spark: SparkSession, folder: str) -> DataFrame:
     """A second decimal leaves only the whole part, a glued letter only the tenth."""
     score = numbers.score(F.expr(SCORE_TEXT))
-    return spread(table(spark, folder, "events")).select("event_id", score.alias("score"))
+    return dealt(table(spark, folder, "events")).select("event_id", score.alias("score"))
 
 
 COUNT_TEXT = f"""CASE event_type
@@ -186,7 +184,7 @@ COUNT_TEXT = f"""CASE event_type
 )
 def count_parse(spark: SparkSession, folder: str) -> DataFrame:
     count = numbers.review_count(F.expr(COUNT_TEXT))
-    return spread(table(spark, folder, "events")).select("event_id", count.alias("review_count"))
+    return dealt(table(spark, folder, "events")).select("event_id", count.alias("review_count"))
 
 
 LABEL = """CASE event_type WHEN 'view' THEN 'Very good' WHEN 'click' THEN 'Superb!'
@@ -206,7 +204,7 @@ BLOCK_SCORE = f"CAST({WHOLE} + ({TENTH}) / 10.0 AS DOUBLE)"
     """,
 )
 def review_block(spark: SparkSession, folder: str) -> DataFrame:
-    rows = spread(table(spark, folder, "events")).select(
+    rows = dealt(table(spark, folder, "events")).select(
         "event_id", reviews.review_block(F.expr(BLOCK_TEXT)).alias("r")
     )
     return rows.select("event_id", "r.*")
@@ -232,7 +230,7 @@ def rating_fallbacks(spark: SparkSession, folder: str) -> DataFrame:
     """Card: number, reader text, block, per field; detail: number, else the whole block."""
     kind = F.col("event_type")
     none = F.lit(None).cast("string")
-    rows = spread(table(spark, folder, "events")).withColumns(
+    rows = dealt(table(spark, folder, "events")).withColumns(
         {
             "block": candidates(F.expr(BLOCK_TEXT)),
             "number": candidates(F.when(kind == "view", F.lit("8.5")).otherwise(F.lit("new"))),
@@ -284,7 +282,7 @@ SUBSCORES = [
 )
 def review_categories(spark: SparkSession, folder: str) -> DataFrame:
     blocks = F.array(*[F.expr(b) for b in SUBSCORES])
-    return spread(table(spark, folder, "events")).select(
+    return dealt(table(spark, folder, "events")).select(
         "event_id", F.explode(reviews.review_categories(blocks)).alias("category", "score")
     )
 
@@ -316,7 +314,7 @@ URGENCY = f"""CASE WHEN l_linenumber = 1 THEN NULL WHEN l_linenumber = 2 THEN 'L
 def availability_state(spark: SparkSession, folder: str) -> DataFrame:
     sold_out = (F.col("l_linestatus") == "F") & (F.col("l_returnflag") == "R")
     state = lists.availability(sold_out, F.expr(URGENCY))
-    rows = spread(table(spark, folder, "lineitem")).withColumn("s", state)
+    rows = dealt(table(spark, folder, "lineitem")).withColumn("s", state)
     return rows.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         F.col("s.status").alias("status"), F.col("s.rooms_left").cast("bigint").alias("rooms_left"),
@@ -364,7 +362,7 @@ TIME_TEXT = f"""CASE event_type
     """,
 )
 def time_normalise(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(table(spark, folder, "events")).select(
+    return dealt(table(spark, folder, "events")).select(
         "event_id", numbers.time_of_day(F.expr(TIME_TEXT)).alias("time")
     )
 
@@ -397,7 +395,7 @@ def checkin_checkout(spark: SparkSession, folder: str) -> DataFrame:
                  F.lit("\nCheck-out until 10:30 AM")),
     ).otherwise(F.lit("Pets allowed\nsince 08:00"))
     none = F.lit(None).cast("string")
-    rows = spread(table(spark, folder, "events")).withColumns(
+    rows = dealt(table(spark, folder, "events")).withColumns(
         {
             "items": places.linked_items(F.array(blob)),
             "rules": candidates(rules),
@@ -431,7 +429,7 @@ def squeeze_text(spark: SparkSession, folder: str) -> DataFrame:
     long = F.concat(
         F.lit("  "), F.col("text"), F.lit("\n  \t"), F.col("lang"), F.lit(" \xa0 ")
     )
-    return spread(table(spark, folder, "documents")).select("doc_id", F.md5(text.squeeze(long)).alias("digest"))
+    return dealt(table(spark, folder, "documents")).select("doc_id", F.md5(text.squeeze(long)).alias("digest"))
 
 
 # --- places and identity ------------------------------------------------------------
@@ -544,7 +542,7 @@ def embedded_coordinates(spark: SparkSession, folder: str) -> DataFrame:
         (kind == "error") | ((kind == "purchase") & (F.col("event_id") % 2 == 1)),
         F.concat(lat, F.lit(" , "), lon),
     ).otherwise(F.lit("nowhere"))
-    rows = spread(table(spark, folder, "events")).withColumn(
+    rows = dealt(table(spark, folder, "events")).withColumn(
         "items", places.linked_items(F.array(F.lit("{broken"), blob))
     )
     meta = F.when(kind == "signup", F.lit("1.25")).otherwise(none)
@@ -650,7 +648,7 @@ LONG_TEXT = """concat(text, CASE doc_id % 4 WHEN 0 THEN ' Free WiFi, private par
 )
 def keyword_tags_long_text(spark: SparkSession, folder: str) -> DataFrame:
     tags = text.keywords_found(F.expr(LONG_TEXT), fixed.AMENITY_PHRASES)
-    return spread(table(spark, folder, "documents")).select("doc_id", F.explode(tags).alias("tag"))
+    return dealt(table(spark, folder, "documents")).select("doc_id", F.explode(tags).alias("tag"))
 
 
 @query(
@@ -707,7 +705,7 @@ def badge_lines(spark: SparkSession, folder: str) -> DataFrame:
             F.floor(i / 10).cast("int").alias("prio"), i.alias("grp"), text.strip(line).alias("text")
         ),
     )
-    rows = spread(table(spark, folder, "documents")).select("doc_id", lines.alias("lines"))
+    rows = dealt(table(spark, folder, "documents")).select("doc_id", lines.alias("lines"))
     return rows.select(
         "doc_id", F.posexplode(lists.badges(F.col("lines"))).alias("pos", "badge")
     ).withColumn("pos", F.col("pos").cast("bigint"))
@@ -864,7 +862,7 @@ def popular_facilities(spark: SparkSession, folder: str) -> DataFrame:
     d AS (SELECT *, 'Room ' || (k // 2) AS name FROM r WHERE k % 2 = 0)
     SELECT p_partkey, CAST(k // 2 AS BIGINT) AS pos, name, (1 + k % 3) || ' double beds' AS beds,
            CAST(10 + k AS BIGINT) AS size_sqm,
-           CASE WHEN p_size % 5 = 0 THEN 9
+           CASE WHEN p_size % 5 = 0 THEN 9 WHEN p_size % 5 = 1 THEN 11
                 WHEN k % 3 = 0 THEN k + 1 WHEN k % 3 = 1 THEN k + 2 END AS max_guests,
            CAST(p * 1000 AS DOUBLE) AS price_vnd,
            CASE k % 4 WHEN 0 THEN 'free' WHEN 1 THEN 'non_refundable' WHEN 2 THEN 'partial' END AS cancellation
@@ -891,7 +889,7 @@ def room_rows(spark: SparkSession, folder: str) -> DataFrame:
         ).alias("n"),
         every(lambda k: _room_text(k)).alias("r"),
         F.when(F.col("p_size") % 5 == 0, every(lambda k: F.lit("9"))).alias("a"),
-        F.when(F.col("p_size") % 5 == 5, every(lambda k: F.lit("none"))).alias("o"),
+        F.when(F.col("p_size") % 5 == 1, every(lambda k: F.lit("sleeps 11, or 12"))).alias("o"),
         every(
             lambda k: F.concat(
                 F.lit("VND "), F.floor("p_retailprice").cast("string"), F.lit("000")

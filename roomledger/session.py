@@ -8,7 +8,7 @@ import uuid
 from functools import cache
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", name: str = "roomledger") -> SparkSession:
@@ -20,6 +20,7 @@ def local_session(cpus: int | str = "*", name: str = "roomledger") -> SparkSessi
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
+        .config("spark.roomledger.tasks", "8" if cpus == "*" else str(cpus))
         .config("spark.sql.adaptive.enabled", "true")
     )
     spark = builder.getOrCreate()
@@ -64,6 +65,15 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="roomledger-")
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """Rows over as many tasks as the setting spark.roomledger.tasks says; as they are without it.
+
+    For CPU-bound work behind a scan of few splits.
+    """
+    tasks = rows.sparkSession.conf.get("spark.roomledger.tasks", None)
+    return rows.repartition(int(tasks)) if tasks else rows
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
     return f"{shared_folder(spark)}/roomledger/{name}-{uuid.uuid4().hex}"

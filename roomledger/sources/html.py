@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import cache
 from html import unescape
@@ -46,8 +46,8 @@ _SELF_CLOSING = frozenset(["p", "li", "dd", "dt", "tr", "td", "th", "option"])
 _DRAWN = frozenset("path circle rect use line polygon polyline ellipse stop".split())
 
 _TAG = re.compile(
-    r"<!--.*?(?:-->|$)|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*|[^>]*)>",
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:\"[^\"]*+\"|'[^']*+'|[^'\">]++)*+(?=>)|[^>]*+)>",
     re.DOTALL,
 )
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
@@ -82,6 +82,9 @@ class _Page:
         self.nodes: list[_Node] = []
         self.pieces: list[str] = []
         self._open: list[_Node] = []
+        self._counts: Counter[str] = Counter()  # open elements by tag
+        self._earliest: dict[tuple, int] = {}
+        self._inside: dict[int, list[_Node]] | None = None
         self._children = [0]
         self._from = 0
         self._files: dict | None = None
@@ -93,7 +96,11 @@ class _Page:
 
     def _read(self, html: str):
         at = 0
-        while (m := _TAG.search(html, at)) is not None:
+        # Behind the last > nothing is a tag: it is text, and no search goes there.
+        end = html.rfind(">") + 1
+        if "<!--" in html and html.rfind("-->") < html.rfind("<!--"):
+            end = len(html)  # an open comment takes the rest
+        while (m := _TAG.search(html, at, end)) is not None:
             if m.start() > at:
                 self.pieces.append(_decoded(html[at : m.start()]))
             self._from, at = m.start(), m.end()
@@ -108,7 +115,7 @@ class _Page:
             if tag in _VOID:
                 continue
             if tag in _RAW:
-                stop = re.compile(f"</{tag}[^>]*>", re.IGNORECASE).search(html, at)
+                stop = re.compile(f"</{tag}[^>]*+>", re.IGNORECASE).search(html, at, end)
                 raw = html[at : stop.start() if stop else len(html)]
                 self._open[-1].raw = raw if tag in ("script", "style") else unescape(raw)
                 at = stop.end() if stop else len(html)
@@ -120,7 +127,7 @@ class _Page:
         self._from = len(html)
 
     def _begin(self, tag: str, attributes: str):
-        if tag in _SELF_CLOSING:
+        if tag in _SELF_CLOSING and self._counts[tag]:
             for depth in range(len(self._open) - 1, -1, -1):
                 other = self._open[depth].tag
                 if other == tag:
@@ -137,17 +144,19 @@ class _Page:
         node = _Node(tag, _attributes(attributes), parent, place, index, start, self._from)
         self.nodes.append(node)
         if tag not in _VOID:
+            self._counts[tag] += 1
             self._open.append(node)
             self._children.append(0)
 
     def _end(self, tag: str):
-        if any(node.tag == tag for node in self._open):
+        if self._counts[tag]:
             while self._open[-1].tag != tag:
                 self._pop()
             self._pop()
 
     def _pop(self):
         node = self._open.pop()
+        self._counts[node.tag] -= 1
         self._children.pop()
         if node.tag in _BLOCK:
             self.pieces.append(_BREAK)
@@ -177,6 +186,19 @@ class _Page:
         start = bisect_left(nodes, low, key=_index)
         return nodes[start : bisect_left(nodes, high, lo=start, key=_index)]
 
+    def earliest(self, node: _Node, chain: tuple[_Part, ...], root: _Node | None) -> int:
+        """The index of the first sibling of an element that matches; all siblings share the answer."""
+        parent = -1 if node.parent is None else node.parent.index
+        key = (parent, chain, -1 if root is None else root.index)
+        if key not in self._earliest:
+            if self._inside is None:
+                self._inside = defaultdict(list)
+                for other in self.nodes:
+                    self._inside[-1 if other.parent is None else other.parent.index].append(other)
+            found = (n.index for n in self._inside[parent] if _matches(self, n, chain, root))
+            self._earliest[key] = next(found, len(self.nodes))
+        return self._earliest[key]
+
     def text(self, node: _Node) -> str:
         """Text as shown: white space collapsed, one line per block."""
         text = self._texts.get(node.index)
@@ -302,11 +324,7 @@ def _matches(
     if not rest:
         return relation != ">" or node.parent is root
     if relation == "~":
-        first = node.parent.index + 1 if node.parent else 0
-        return any(
-            other.parent is node.parent and _matches(page, other, rest, root)
-            for other in page.nodes[first : node.index]
-        )
+        return page.earliest(node, rest, root) < node.index
     above = node.parent
     while above is not None:
         if _matches(page, above, rest, root):
@@ -443,16 +461,6 @@ def _column(rows: list[list[tuple[int, int, str]]]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), items)
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Give a scan of few splits to all cores, for the CPU-bound stages behind it.
-
-    A scan that already has splits for half of the cores stays as it is: no
-    shuffle is added to large inputs.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if 2 * rows.rdd.getNumPartitions() > cores else rows.repartition(cores)
-
-
 def extract(
     pages: DataFrame,
     rules: list[Rule],
@@ -464,7 +472,8 @@ def extract(
 
     With ``containers`` the result has a row per card, numbered by ``unit``,
     and one row with a null ``unit`` for a page without cards; without, a row
-    per page. ``page_title`` is the title and ``units`` the number of cards.
+    per page. ``page_title`` is the title and ``units`` the number of cards. A page
+    that can not be read has no units and the reason in ``page_error``.
     ``keep_html`` passes the HTML on, once per page.
     """
     ship_package(pages.sparkSession)
@@ -474,6 +483,7 @@ def extract(
         [
             *kept,
             T.StructField("page_title", T.StringType()),
+            T.StructField("page_error", T.StringType()),
             T.StructField("units", T.IntegerType()),
             T.StructField("unit", T.IntegerType()),
             *[T.StructField(name, CANDIDATES) for name in fields],
@@ -485,30 +495,42 @@ def extract(
         finders = [_Finder(rule) for rule in rules]
         words = {n for f in finders for a in f.chains for chain in a for n in chain.needles}
         title = _Finder(Rule("title", "title", take="raw", first=True))
+
+        def read(text: str) -> tuple[str | None, list[dict[str, list]]]:
+            """The title of a page, and the candidates by field of each unit."""
+            page = _Page(text)
+            present = {word for word in words if word in text}
+            usable = [f for f in finders if f.possible(present)]
+            name = next((t for _, _, t in title.run(page, None)), None)
+            rows = []
+            for unit in _units(page, containers) if containers else [None]:
+                able = usable
+                if unit is not None:
+                    part = text[unit.opened : unit.closed]
+                    inside = {word for word in present if word in part}
+                    able = [f for f in usable if f.possible(inside)]
+                row: dict[str, list] = {field: [] for field in fields}
+                for finder in able:
+                    row[finder.rule.field].extend(finder.run(page, unit))
+                rows.append(row)
+            return name, rows
+
         for batch in batches:
-            source, titles, counts, numbers = [], [], [], []
+            source, titles, errors, counts, numbers = [], [], [], [], []
             columns: dict[str, list] = {name: [] for name in fields}
             for position, text in enumerate(batch.column(html).to_pylist()):
-                page = _Page(text or "")
-                present = {word for word in words if word in (text or "")}
-                usable = [f for f in finders if f.possible(present)]
-                name = next((t for _, _, t in title.run(page, None)), None)
-                units = _units(page, containers) if containers else [None]
-                for number, unit in enumerate(units or [None]):
-                    able = usable
-                    if unit is not None:
-                        part = text[unit.opened : unit.closed]
-                        inside = {word for word in present if word in part}
-                        able = [f for f in usable if f.possible(inside)]
+                try:
+                    name, found = read(text or "")
+                except Exception as error:  # one page must not end the job
+                    name, found = f"{type(error).__name__}: {error}"[:200], None
+                for number, row in enumerate(found or [None]):
                     source.append(position)
-                    titles.append(name)
-                    counts.append(len(units))
-                    numbers.append(number if units else None)
-                    row: dict[str, list] = {field: [] for field in fields}
-                    for finder in able if units else []:
-                        row[finder.rule.field].extend(finder.run(page, unit))
+                    titles.append(None if found is None else name)
+                    errors.append(name if found is None else None)
+                    counts.append(len(found or []))
+                    numbers.append(None if row is None else number)
                     for field in fields:
-                        columns[field].append(row[field])
+                        columns[field].append([] if row is None else row[field])
             rest = batch.select([f.name for f in kept]).take(pa.array(source, pa.int64()))
             whole = []
             if keep_html:
@@ -518,6 +540,7 @@ def extract(
                 [
                     *rest.columns,
                     pa.array(titles, pa.string()),
+                    pa.array(errors, pa.string()),
                     pa.array(counts, pa.int32()),
                     pa.array(numbers, pa.int32()),
                     *[_column(columns[field]) for field in fields],

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,21 +34,38 @@ def count_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _parsed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    full = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
+    """All values are read as text first, so that no value costs its line."""
+    texts = [T.StructField(f.name, T.StringType()) for f in schema]
+    full = T.StructType([*texts, T.StructField("_corrupt", T.StringType())])
     record = F.from_json("value", full, _OPTIONS)
     return read_lines(spark, path).withColumn("record", record).withColumn(
         "good", F.col("value").startswith("{") & F.col("record._corrupt").isNull()
     )
 
 
+def _typed(text: Column, kind: T.DataType) -> Column:
+    """A value of the type; null for an empty text and for what is of another type."""
+    if isinstance(kind, T.StringType):
+        return text
+    given = F.nullif(strip(text), F.lit(""))
+    if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        return F.from_json(given, kind)
+    if isinstance(kind, T.IntegralType):
+        # 10.0 is a whole number, too
+        number = given.try_cast("decimal(38,6)")
+        return F.when(number == F.floor(number), number.try_cast(kind))
+    return given.try_cast(kind)
+
+
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType = FLAT) -> DataFrame:
-    """The lines that hold an object of the schema, with their position."""
+    """The lines that hold an object, with their position; see `_typed` for values that do not fit."""
     parsed = _parsed(spark, path, schema).where("good")
-    return parsed.select(*[F.col(f"record.{f.name}").alias(f.name) for f in schema], *LINE_ORDER)
+    values = [_typed(F.col("record")[f.name], f.dataType).alias(f.name) for f in schema]
+    return parsed.select(*values, *LINE_ORDER)
 
 
 def rejected_lines(spark: SparkSession, path: str, schema: T.StructType = FLAT) -> DataFrame:
-    """The lines that do not: broken JSON, other JSON values, values of another type."""
+    """The lines that do not: broken JSON and other JSON values."""
     return _parsed(spark, path, schema).where(~F.col("good")).select("value", *LINE_ORDER)
 
 
@@ -58,7 +75,11 @@ def read_store(
     keys: tuple[str, ...] = ("hotel_id", "scrape_date"),
     schema: T.StructType = FLAT,
 ) -> DataFrame:
-    """One row per key; of lines with one key the last counts."""
+    """One row per key; of lines with one key the last counts.
+
+    A missing part of a text key and an empty one are the same key: the writer of
+    flat rows puts the empty text where it has no value.
+    """
     rows = last_wins(read_jsonl(spark, path, schema), list(keys), LINE_ORDER)
     return rows.select(*[f.name for f in schema])
 

@@ -22,14 +22,36 @@ def append_bronze(batch: DataFrame, path: str, day: str = "scrape_date") -> None
     batch.write.mode("append").partitionBy(day).parquet(path)
 
 
-def put_batch(batch: DataFrame, path: str, batch_id: int, day: str = "scrape_date") -> None:
-    """Add one numbered batch; writing the same number again replaces it."""
+# What orders bronze rows: the run, its batch, and then the order inside of the batch.
+ARRIVAL = ["run", "ingest"]
+
+
+def put_batch(
+    batch: DataFrame, path: str, batch_id: int, day: str = "scrape_date", run: int = 0
+) -> None:
+    """Add one numbered batch of a run; writing the same number of it again replaces all of it.
+
+    Runs never touch each other's batches, so a second source or a stream with a
+    renewed checkpoint adds to bronze. Later runs need larger numbers.
+    """
     (
-        batch.withColumn("ingest", F.lit(batch_id).cast("bigint"))
+        batch.hint("rebalance", day)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("ingest", day)
-        .parquet(path)
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(day)
+        .parquet(f"{path}/run={run}/ingest={batch_id}")
+    )
+
+
+def bronze_schema(rows: T.StructType, day: str = "scrape_date") -> T.StructType:
+    """The columns of stored batches."""
+    return T.StructType(
+        [
+            *[f for f in rows if f.name != day],
+            T.StructField("run", T.LongType()),
+            T.StructField("ingest", T.LongType()),
+            rows[day],
+        ]
     )
 
 

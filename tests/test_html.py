@@ -2,6 +2,7 @@
 
 import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from roomledger.functions.jsontext import json_text
@@ -93,7 +94,7 @@ def test_records_have_the_declared_types(spark):
 def test_json_text(spark):
     import json
 
-    values = ({"đ": 12345678.0}, ["a", 'q"\n'], [("x", None, 15000000.0)])
+    values = ({"đ": 12345678.1234567}, ["a", 'q"\n'], [("x", None, 15000000.0)])
     row = spark.createDataFrame(
         [values], "m map<string,double>, a array<string>, r array<struct<n:string,k:int,p:double>>"
     )
@@ -120,3 +121,51 @@ def test_workers_do_not_need_the_repository_folder(tmp_path):
         [sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120
     )
     assert done.stdout.strip().splitlines()[-1:] == ["50"], done.stderr[-500:]
+
+
+@pytest.mark.parametrize(
+    "page", ['<a ' * 100_000, '\'"<b "' * 100_000, "<span>" * 50_000 + "</b>" * 50_000, "<!--" * 100_000,
+             "<span>" * 20_000 + "<td></td>" * 50_000, "<script" * 100_000, '<a "x>' * 50_000]
+)
+def test_broken_markup_takes_linear_time(page):
+    import time
+
+    from roomledger.sources.html import _Page
+
+    start = time.process_time()
+    _Page(page)
+    assert time.process_time() - start < 2
+
+
+def test_a_page_that_fails_costs_only_itself(spark):
+    table = pages(spark, ("search", "u", "<b>fine</b>"), ("search", "u", "<b>x</b><p>y</p>"), ("search", "u", ""))
+    rules = [Rule("word", "b"), Rule("bad", "p", take=5)]  # a rule that fails where it finds an element
+    rows = {r["page_id"]: r for r in extract(table, rules).collect()}
+    assert [c["text"] for c in rows[0]["word"]] == ["fine"] and rows[0]["page_error"] is None
+    assert rows[1]["units"] == 0 and rows[1]["unit"] is None and rows[1]["page_error"].startswith("TypeError")
+    assert rows[2]["units"] == 1 and rows[2]["page_error"] is None
+
+
+def test_rejects_hold_empty_pages(spark):
+    table = pages(spark, ("search", "https://s/1", ""), ("search", "https://s/2", None))
+    rows = {r["page_id"]: r["reason"] for r in listing.rejected_pages(table).collect()}
+    assert rows == {0: "no cards", 1: "no cards"}
+
+
+def test_later_batch_wins_whatever_its_page_ids(spark, tmp_path):
+    def day(page_id, price):
+        html = CARD.format("Inn", f"<span data-testid='price-and-discounted-price'>VND {price}</span>")
+        return spark.createDataFrame(
+            [(page_id, "https://s/1", html, "search", "Hue", 0, f"2024-05-01T{8 + page_id % 7:02}:00:00.000001", DAY)], PAGE)
+
+    for batch, (page_id, price) in enumerate([(900, "500.000"), (5, "400.000")], 1):
+        daily.run_day(spark, day(page_id, price), str(tmp_path / "b"), str(tmp_path / "s"), batch)
+    silver = spark.read.schema(daily.SILVER).parquet(str(tmp_path / "s")).collect()
+    assert [r["price_per_night_vnd"] for r in silver] == [400000.0]
+
+
+def test_html_files_with_a_wrong_byte(spark, tmp_path):
+    from roomledger.sources.pages import read_html_files
+
+    (tmp_path / "a.html").write_bytes(b"<p>\xff ok")
+    assert read_html_files(spark, str(tmp_path)).first()["html"] == "<p>\ufffd ok"

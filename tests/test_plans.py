@@ -4,7 +4,7 @@ import datetime
 
 import pytest
 
-import __spark_entry__ as entry
+from roomledger.plans.queries import QUERIES
 from roomledger.operators import coverage, merge
 from roomledger.sources import layers
 
@@ -14,11 +14,11 @@ def plan(frame):
 
 
 def test_merge_has_one_shuffle(spark, sf):
-    assert plan(entry.queries()["observation_upsert"](spark, sf)).count("Exchange") == 1
+    assert plan(QUERIES["observation_upsert"](spark, sf)).count("Exchange") == 1
 
 
 def test_filters_and_columns_reach_the_scan(spark, sf):
-    text = plan(entry.queries()["structured_search"](spark, sf))
+    text = plan(QUERIES["structured_search"](spark, sf))
     assert "TakeOrderedAndProject" in text and "s_acctbal" not in text
     assert "In(n_name" in text
 
@@ -34,9 +34,9 @@ WRITING = {
 }
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - WRITING))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITING))
 def test_no_python_and_no_cross_join(spark, sf, name):
-    text = plan(entry.queries()[name](spark, sf))
+    text = plan(QUERIES[name](spark, sf))
     assert ("Python" in text or "MapInArrow" in text) == (name in WITH_PYTHON)
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
