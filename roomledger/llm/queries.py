@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 
 from roomledger.llm import bpe, licenses, lm, packing, quality, repeats, secrets, simhash, topk, webtext
 from roomledger.llm.common import stored
+from roomledger.llm.sql import SQL  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
 
 
 def query(function: Query) -> Query:
