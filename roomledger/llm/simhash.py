@@ -214,24 +214,29 @@ def links(prints: DataFrame) -> DataFrame:
 
 
 def grouped(rows: DataFrame, id_column: str = "doc_id", name: str = "fp") -> DataFrame:
-    """Stored rows with a fingerprint, and `component_id`: the smallest id their links reach."""
+    """Stored rows with a fingerprint, `component_id`: the smallest id their links reach, and `group`:
+    the smallest fingerprint, which a component without ids has as well."""
     prints = stored(rows.groupBy(name).agg(F.min(id_column).alias("least")).withColumnRenamed(name, "fp"), "simhash-prints")
     found = components(links(prints.select("fp")))
     rooted = prints.join(found, prints["fp"] == found["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = stored(rooted.join(ids, "root").select(F.col("fp").alias("_fp"), "component_id"), "simhash-groups")
+    named = stored(
+        rooted.join(ids, "root").select(F.col("fp").alias("_fp"), "component_id", F.col("root").alias("group")),
+        "simhash-groups",
+    )
     return rows.join(named, rows[name] == named["_fp"]).drop("_fp")
 
 
 def kept(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     """One row of every group: the smallest id, and of repeated ids the first row. All columns stay."""
+    whole = docs.select(F.struct("*").alias("row"), docs["text"].alias("text"))
     rows = stored(
-        with_fingerprint(docs, name="_fp").withColumn("_row", F.monotonically_increasing_id()), "simhash-rows"
+        with_fingerprint(whole).select("row", "fp", F.monotonically_increasing_id().alias("_row")), "simhash-rows"
     )
-    member = grouped(rows.select(F.col(id_column).alias("_id"), F.col("_fp").alias("fp"), "_row"), "_id")
-    first = member.groupBy("component_id").agg(
-        F.min_by("_row", F.struct(F.col("_id").isNull(), F.col("_id"), F.col("_row"))).alias("_row")
+    member = grouped(rows.select(F.col("row")[id_column].alias("id"), "fp", "_row"), "id")
+    first = member.groupBy("group").agg(
+        F.min_by("_row", F.struct(F.col("id").isNull(), F.col("id"), F.col("_row"))).alias("_row")
     )
-    return rows.join(first.select("_row"), "_row", "left_semi").select(*docs.columns)
+    return rows.join(first.select("_row"), "_row", "left_semi").select("row.*")
