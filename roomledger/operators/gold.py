@@ -45,6 +45,14 @@ def amenity_shares(
     return null_safe_join(tagged, totals, by).withColumn("share", F.col("tagged") / F.col("listings"))
 
 
+def near_place(
+    listings: DataFrame, near: DataFrame, kind: str, within_km: float, key: str = "hotel_id"
+) -> DataFrame:
+    """Listings with a place of a kind within a distance; each listing once."""
+    fits = near.where((F.col("type") == kind) & (F.col("distance_km") <= within_km))
+    return listings.join(fits.select(key), key, "left_semi")
+
+
 def search(
     gold: DataFrame, conditions: Sequence[Column], order: Sequence[Column], limit: int
 ) -> DataFrame:

@@ -301,6 +301,13 @@ def child_rooms(silver_rows: DataFrame) -> DataFrame:
     ).select("hotel_id", "scrape_date", "pos", "room.*")
 
 
+def child_places(details: DataFrame) -> DataFrame:
+    """Gold child table: one row per nearby place of a detail page, for searches by kind and distance."""
+    return details.select(
+        places.slug_id(F.col("url")).alias("hotel_id"), F.posexplode("d.places").alias("pos", "place")
+    ).select("hotel_id", "pos", "place.name", "place.distance_km", "place.type")
+
+
 def child_amenities(silver_rows: DataFrame) -> DataFrame:
     return silver_rows.select("hotel_id", "scrape_date", F.explode("amenities").alias("amenity"))
 

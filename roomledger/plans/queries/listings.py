@@ -11,12 +11,11 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomledger.operators import profile
+from roomledger.operators import gold, profile
 from roomledger.plans import daily, listing
 from roomledger.plans.queries.registry import query, table
-from roomledger.session import scratch
+from roomledger.session import dealt, scratch
 from roomledger.sources import layers
-from roomledger.session import dealt
 
 
 def fill(template: str, values: dict[str, Column]) -> Column:
@@ -107,6 +106,7 @@ DETAIL = """
 <div data-testid='review-score'><div aria-hidden='true'>9.{t}</div><div aria-hidden='false'><div>Superb</div><div>{c} reviews</div></div></div>
 <div data-testid='review-subscore'>Staff <b>9.{t}</b></div><div data-testid='review-subscore'>Location 8.0</div>
 {price}<div data-testid='excluded-charges'>Excludes city tax</div>
+<ul data-testid='location-block'><li>North Beach {t}00 m</li><li>Night market 1.{h} km</li><li>Old hall {h} miles</li></ul>
 <div data-testid='photo-grid-item'><img src='https://img.example.com/max300/{c}.jpg'></div></body></html>
 """
 
@@ -389,6 +389,119 @@ def room_table(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+PLACES_SQL = """
+    SELECT 'stay-' || c_custkey AS hotel_id, pos, name, distance_km, type FROM (
+        SELECT c_custkey, CAST(0 AS BIGINT) AS pos, 'North Beach ' || (c_custkey % 10) || '00 m' AS name,
+               CAST((c_custkey % 10) / 10.0 AS DOUBLE) AS distance_km, 'beach' AS type
+        FROM customer WHERE c_mktsegment <> 'MACHINERY'
+        UNION ALL
+        SELECT c_custkey, 1, 'Night market 1.' || (c_custkey % 9 + 1) || ' km', CAST(1 + (c_custkey % 9 + 1) / 10.0 AS DOUBLE), 'attraction'
+        FROM customer WHERE c_mktsegment <> 'MACHINERY'
+        UNION ALL
+        SELECT c_custkey, 2, 'Old hall ' || (c_custkey % 9 + 1) || ' miles',
+               CAST(format('{:.2f}', (c_custkey % 9 + 1) * CAST(1.609 AS DOUBLE)) AS DOUBLE), 'other'
+        FROM customer WHERE c_mktsegment <> 'MACHINERY')
+"""
+
+
+def _places(spark: SparkSession, folder: str) -> DataFrame:
+    details = listing.detail_records(listing.extract_details(detail_pages(spark, folder)))
+    return listing.child_places(details)
+
+
+@query("places_table", PLACES_SQL)
+def places_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Nearby places of the detail pages as a child table."""
+    return _places(spark, folder).withColumn("pos", F.col("pos").cast("bigint"))
+
+
+@query(
+    "search_near_place",
+    f"""
+    SELECT page_id, hotel_id, CAST(score AS DOUBLE) AS score, price FROM ({CARDS_SQL})
+    WHERE score >= 5 AND hotel_id IN (SELECT hotel_id FROM ({PLACES_SQL}) WHERE type = 'beach' AND distance_km <= 0.3)
+    ORDER BY score DESC, price, page_id LIMIT 40
+    """,
+)
+def search_near_place(spark: SparkSession, folder: str) -> DataFrame:
+    """Well rated cards within 300 m of a beach, best first, then cheapest."""
+    cards = listing.card_records(_cards(spark, folder)).select(
+        "page_id", "hotel_id", F.col("rating.score").alias("score"),
+        F.col("pricing.price_per_night_vnd").alias("price"),
+    )
+    near = gold.near_place(cards, _places(spark, folder), "beach", 0.3)
+    order = [F.desc("score"), F.asc_nulls_last("price"), F.col("page_id")]
+    return gold.search(near, [F.col("score") >= 5], order, 40).select("page_id", "hotel_id", "score", "price")
+
+
+@query(
+    "child_gold_tables",
+    f"""
+    WITH r AS (SELECT hotel_id, CAST(make_date(year(o_orderdate), 1, 1) AS VARCHAR) AS day,
+                      max(enriched) AS enriched, max(t) FILTER (enriched) AS t, any_value(amenities) AS amenities
+               FROM ({ENRICHED_SQL}) WHERE hotel_id LIKE 'stay-%' GROUP BY 1, 2),
+    c AS (SELECT 'stay-' || c_custkey AS hotel_id, c_custkey % 10 AS t, c_custkey, lower(c_mktsegment) AS segment
+          FROM customer WHERE c_mktsegment <> 'MACHINERY')
+    SELECT 'room' AS kind, hotel_id, day, name AS key, CAST(value AS DOUBLE) AS value
+    FROM r JOIN c USING (hotel_id), (VALUES ('Double'), ('Suite')) AS n(name),
+         LATERAL (SELECT CASE WHEN name = 'Double' THEN nullif(c_custkey * 1000, 0) END AS value)
+    UNION ALL
+    SELECT 'review', hotel_id, day, name, CASE WHEN name = 'staff' THEN 9 + c.t / 10.0 ELSE 8 END
+    FROM r JOIN c USING (hotel_id), (VALUES ('staff'), ('location')) AS n(name)
+    UNION ALL
+    SELECT 'amenity', hotel_id, day, unnest(['free_cancellation', 'free_breakfast', 'free_wifi', segment]), NULL
+    FROM r JOIN c USING (hotel_id)
+    """,
+)
+def child_gold_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """Rooms, amenities and review categories of the merged silver rows of detailed listings."""
+    home = scratch(spark, "daily")
+    pages = search_pages(spark, folder).unionByName(detail_pages(spark, folder))
+    daily.run_day(spark, pages, f"{home}/bronze", f"{home}/silver", batch_id=1)
+    rows = layers.read_layer(spark, f"{home}/silver", daily.SILVER)
+    rows = rows.where(F.size("room_types") > 0)
+    day = F.col("scrape_date").cast("string").alias("day")
+
+    def part(frame: DataFrame, kind: str, key: str, value: Column) -> DataFrame:
+        return frame.select(
+            F.lit(kind).alias("kind"), "hotel_id", day, F.col(key).alias("key"), value.cast("double").alias("value")
+        )
+
+    return (
+        part(listing.child_rooms(rows), "room", "name", F.col("price_vnd"))
+        .unionByName(part(listing.child_amenities(rows), "amenity", "amenity", F.lit(None)))
+        .unionByName(part(listing.child_review_categories(rows), "review", "category", F.col("score")))
+    )
+
+
+@query(
+    "daily_two_batches",
+    f"""
+    SELECT hotel_id, CAST(make_date(year(o_orderdate), 1, 1) AS VARCHAR) AS scrape_date,
+           arg_max(price, n) FILTER (price IS NOT NULL) AS price, arg_max(status, n) AS status
+    FROM (SELECT *, row_number() OVER (ORDER BY page_id < (SELECT avg(o_orderkey) FROM orders), page_id) AS n
+          FROM ({ENRICHED_SQL}) WHERE unit = 0) GROUP BY 1, 2
+    """,
+)
+def daily_two_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """Two batches of one run of pages: in the second the pages with smaller ids, which count as later.
+
+    Page ids fall over the batches, so only the order of arrival gives the right price.
+    """
+    home = scratch(spark, "daily")
+    details = detail_pages(spark, folder)
+    pages = search_pages(spark, folder)
+    middle = pages.select(F.expr("avg(page_id)")).scalar()
+    for number, late in enumerate((False, True), 1):
+        batch = pages.where((F.col("page_id") < middle) == F.lit(late))
+        daily.run_day(spark, batch.unionByName(details), f"{home}/bronze", f"{home}/silver", number)
+    silver = layers.read_layer(spark, f"{home}/silver", daily.SILVER)
+    return silver.where(F.col("hotel_id").startswith("stay-")).select(
+        "hotel_id", F.col("scrape_date").cast("string").alias("scrape_date"),
+        F.col("price_per_night_vnd").alias("price"), F.col("availability_status").alias("status"),
+    )
+
+
 @query(
     "daily_silver",
     f"""

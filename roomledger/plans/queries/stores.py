@@ -276,3 +276,39 @@ def file_store_counters(spark: SparkSession, folder: str) -> DataFrame:
     return upsert_files(
         spark, rows.where(~early), SEQ, f"{home}/one", f"{home}/two", None, keys, STORED
     )
+
+
+UNTYPED = struct(o_orderkey=BIGINT, o_custkey=BIGINT, o_totalprice=DOUBLE, o_orderdate=STRING)
+
+
+@query(
+    "jsonl_untyped_values",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 4 IN (0, 1) THEN o_custkey END AS o_custkey,
+              CASE o_orderkey % 3 WHEN 0 THEN o_totalprice WHEN 1 THEN o_totalprice END AS o_totalprice,
+              CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderdate, CAST(0 AS BIGINT) AS rejected
+       FROM orders""",
+)
+def jsonl_untyped_values(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole numbers written as 7.0, numbers as texts, empty texts, nulls and absent keys: no line is lost."""
+    path = scratch(spark, "untyped")
+    key = F.col("o_orderkey")
+    cust = (
+        F.when(key % 4 == 0, F.concat(F.lit(', "o_custkey": '), F.col("o_custkey").cast("string"), F.lit(".0")))
+        .when(key % 4 == 1, F.concat(F.lit(', "o_custkey": "'), F.col("o_custkey").cast("string"), F.lit('"')))
+        .when(key % 4 == 2, F.lit(', "o_custkey": ""'))
+        .otherwise(F.lit(""))
+    )
+    price = F.col("o_totalprice").cast("string")
+    amount = (
+        F.when(key % 3 == 0, F.concat(F.lit(', "o_totalprice": '), price))
+        .when(key % 3 == 1, F.concat(F.lit(', "o_totalprice": "'), price, F.lit('"')))
+        .otherwise(F.lit(', "o_totalprice": null'))
+    )
+    line = F.concat(
+        F.lit('{"o_orderkey": '), key.cast("string"), cust, amount, F.lit(', "o_orderdate": "'),
+        F.to_date("o_orderdate").cast("string"), F.lit('"}'),
+    )
+    table(spark, folder, "orders").select(line.alias("value")).write.text(path)
+    rejected = jsonl.rejected_lines(spark, path, UNTYPED).agg(F.count(F.lit(1)).alias("rejected"))
+    rows = jsonl.read_store(spark, path, ("o_orderkey", "o_orderdate"), UNTYPED)
+    return rows.withColumn("rejected", rejected.scalar())

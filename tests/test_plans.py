@@ -25,10 +25,11 @@ def test_filters_and_columns_reach_the_scan(spark, sf):
 
 WITH_PYTHON = {
     "page_fields", "page_links", "card_records", "detail_records", "enriched_records",
-    "flatten_record", "enrichment_counts", "room_table", "rejected_pages",
+    "flatten_record", "enrichment_counts", "room_table", "rejected_pages", "places_table",
+    "search_near_place",
 }
 WRITING = {
-    "daily_silver", "jsonl_roundtrip", "jsonl_scan", "jsonl_line_counts", "csv_roundtrip",
+    "daily_silver", "daily_two_batches", "child_gold_tables", "jsonl_untyped_values", "jsonl_roundtrip", "jsonl_scan", "jsonl_line_counts", "csv_roundtrip",
     "csv_rebuild", "snapshot_lines", "medallion", "stream_upsert", "stream_replays",
     "batch_split_merge", "file_store_upsert", "file_store_counters",
 }
