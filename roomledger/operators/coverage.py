@@ -42,7 +42,7 @@ def before_first_gap(counts: DataFrame, partition: Sequence[str], page: str, n:
     return kept.where(F.col("_gap").isNull() | (F.col(page) < F.col("_gap"))).drop("_gap")
 
 
-def rotation(calendar: DataFrame, day: str, total: int, per_day: int) -> DataFrame:
+def rotation(calendar: DataFrame, day: str, total: int | Column, per_day: int) -> DataFrame:
     """The positions due on each day: a window moving over the list, restarted each year."""
     start = F.pmod((F.dayofyear(day) - 1) * per_day, F.lit(total))
     steps = F.sequence(F.lit(0), F.lit(per_day - 1))

@@ -29,9 +29,8 @@ RICHER = "richer"
 LATEST = "latest"
 
 
-def _winner(value: Column, blank: Column, length: Column, seq: Sequence[str]) -> Column:
-    rich = ~blank & (length >= fixed.RICH_LENGTH)
-    rank = F.when(blank, F.lit(0)).when(rich, length).otherwise(F.lit(1))
+def _winner(value: Column, rank: Column, seq: Sequence[str]) -> Column:
+    """The value of the highest rank: the earliest of equally rich ones, the last of short ones."""
     early = [(-F.col(s)).alias(s) for s in seq]
     late = [F.col(s).alias(s) for s in seq]
     forward = F.struct(rank.alias("rank"), *late)
@@ -39,9 +38,8 @@ def _winner(value: Column, blank: Column, length: Column, seq: Sequence[str]) ->
     return F.max_by(value, F.when(rank == 1, forward).otherwise(backward))
 
 
-def richest(name: str, kind: T.DataType, seq: Sequence[str], policy: str = RICHER) -> Column:
-    """Aggregate of one column; ``seq`` names the integral columns that order the rows."""
-    value = F.col(name)
+def _rank(value: Column, kind: T.DataType, policy: str) -> Column | None:
+    """0 for a blank value, the length of a rich one, else 1; None where no value is ever rich."""
     if isinstance(kind, T.StringType):
         blank, length = is_blank(value), F.length(strip(value))
     elif isinstance(kind, (T.ArrayType, T.MapType)):
@@ -50,12 +48,11 @@ def richest(name: str, kind: T.DataType, seq: Sequence[str], policy: str = RICHE
     elif isinstance(kind, T.StructType):
         blank, length = value.isNull(), F.length(json_text(value, kind))
     else:
-        # numbers, flags and dates are always short: the last one that is there
-        order = F.struct(*[F.col(s) for s in seq])
-        return F.max_by(value, F.when(value.isNotNull(), order))
+        return None
     if policy == LATEST:
         length = F.lit(1)
-    return _winner(value, blank, length, seq)
+    rich = ~blank & (length >= fixed.RICH_LENGTH)
+    return F.when(blank, F.lit(0)).when(rich, length).otherwise(F.lit(1))
 
 
 def merge_rows(
@@ -65,14 +62,29 @@ def merge_rows(
     policies: Mapping[str, str] | None = None,
     extra: Sequence[Column] = (),
 ) -> DataFrame:
-    """One row per key (null keys are one key) with every other column merged."""
+    """One row per key (null keys are one key) with every other column merged.
+
+    ``seq`` names the integral columns that order the rows. Ranks are columns of
+    their own, so a value is trimmed and measured once per row.
+    """
     policies = policies or {}
-    merged = [
-        richest(f.name, f.dataType, seq, policies.get(f.name, RICHER)).alias(f.name)
-        for f in rows.schema
-        if f.name not in keys and f.name not in seq
-    ]
-    return rows.groupBy(*keys).agg(*merged, *extra)
+    fields = [f for f in rows.schema if f.name not in keys and f.name not in seq]
+    ranks = {
+        f"_rank_{f.name}": rank
+        for f in fields
+        if (rank := _rank(F.col(f.name), f.dataType, policies.get(f.name, RICHER))) is not None
+    }
+    merged = []
+    for f in fields:
+        value, name = F.col(f.name), f"_rank_{f.name}"
+        if name in ranks:
+            winner = _winner(value, F.col(name), seq)
+        else:
+            # numbers, flags and dates are always short: the last one that is there
+            order = F.struct(*[F.col(s) for s in seq])
+            winner = F.max_by(value, F.when(value.isNotNull(), order))
+        merged.append(winner.alias(f.name))
+    return rows.withColumns(ranks).groupBy(*keys).agg(*merged, *extra)
 
 
 def upsert(

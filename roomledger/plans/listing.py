@@ -133,6 +133,7 @@ def detail_records(details: DataFrame, host: str = places.DEFAULT_HOST) -> DataF
     join cannot multiply cards.
     """
     details = details.where(F.get("loaded", F.lit(0))["text"] != "#0")
+    details = silver.with_linked_items(details)
     details = silver.standardise_prices(details, silver.DETAIL)
     details = silver.standardise_ratings(details, silver.DETAIL)
     details = silver.standardise_availability(details, silver.DETAIL)

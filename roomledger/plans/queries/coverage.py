@@ -96,7 +96,8 @@ def _schedule(spark: SparkSession, folder: str) -> DataFrame:
     """Nations due on each order day; the positions are their keys."""
     nations = table(spark, folder, "nation").select("n_nationkey", "n_name")
     days = table(spark, folder, "orders").select(F.to_date("o_orderdate").alias("day")).distinct()
-    due = coverage.rotation(days, "day", nations.count(), fixed.CITIES_PER_DAY)
+    total = nations.agg(F.count(F.lit(1))).scalar()
+    due = coverage.rotation(days, "day", total, fixed.CITIES_PER_DAY)
     return due.join(nations, F.col("position") == F.col("n_nationkey")).select(
         "day", "slot", "n_nationkey", "n_name"
     )

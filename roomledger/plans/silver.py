@@ -79,24 +79,35 @@ def standardise_availability(rows: DataFrame, kind: str = CARD) -> DataFrame:
             )
             .drop("_state")
         )
-    items = places.linked_items(F.transform(F.col("linked_data"), lambda c: c["text"]))
     rules = F.col("house_rules")
 
     def at(key: str, words: list[str], legacy: str) -> Column:
         return lists.check_time(F.col("_items"), key, rules, words, F.col(legacy))
 
     return (
-        rows.withColumn("_items", items)
+        with_linked_items(rows)
         .withColumns(
             {
                 "checkin_time": at("checkinTime", ["check-in", "check in"], "checkin"),
                 "checkout_time": at("checkoutTime", ["check-out", "check out"], "checkout"),
             }
         )
-        .drop("_items")
+        .drop(*_own(rows))
     )
 
 
+def with_linked_items(rows: DataFrame) -> DataFrame:
+    """The items of the linked data, read once for the jobs that need them."""
+    if "_items" in rows.columns:
+        return rows
+    texts = F.transform(F.col("linked_data"), lambda c: c["text"])
+    return rows.withColumn("_items", places.linked_items(texts))
+
+
+def _own(rows: DataFrame) -> list[str]:
+    return [] if "_items" in rows.columns else ["_items"]
+
+
 def standardise_identity_and_place(
     rows: DataFrame, kind: str = CARD, host: str = places.DEFAULT_HOST
 ) -> DataFrame:
@@ -113,10 +124,7 @@ def standardise_identity_and_place(
         ).withColumn("hotel_id", places.slug_id(F.col("canonical_url")))
     kept_type = first_text(F.col("type"))
     return (
-        rows.withColumn(
-            "_items",
-            places.linked_items(F.transform(F.col("linked_data"), lambda c: c["text"])),
-        )
+        with_linked_items(rows)
         .withColumns(
             {
                 "canonical_url": places.canonical_url(F.col("url"), host),
@@ -139,7 +147,7 @@ def standardise_identity_and_place(
                 "position_longitude": F.col("_position.longitude"),
             }
         )
-        .drop("_items", "_position")
+        .drop("_position", *_own(rows))
     )
 
 
