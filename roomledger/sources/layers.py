@@ -98,6 +98,17 @@ def register(spark: SparkSession, tables: Mapping[str, tuple[str, T.StructType]]
         read_layer(spark, path, schema).createOrReplaceTempView(name)
 
 
+def save_table(
+    rows: DataFrame, name: str, schema: T.StructType, path: str | None = None, by: Sequence[str] = ()
+) -> None:
+    """Write a catalogued table of exactly this schema; with a path its files are kept there."""
+    typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+    writer = typed.write.mode("overwrite").format("parquet")
+    if path is not None:
+        writer = writer.option("path", path)
+    (writer.partitionBy(*by) if by else writer).saveAsTable(name)
+
+
 def publish_snapshot(spark: SparkSession, source: str, target: str) -> None:
     """Overwrite one fixed target with the lines of a source that must exist."""
     try:

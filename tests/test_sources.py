@@ -180,3 +180,16 @@ def test_rank_bound(spark):
     with pytest.raises(Exception, match="is not between"):
         dense_rank_in(rows, ["g"], "v", digits=2).collect()
     assert dense_rank_in(rows, ["g"], "v").first()["rank"] == 1
+
+
+def test_catalogued_table(spark, tmp_path):
+    rows = spark.sql("SELECT 'a' k, 1 n, DATE'2024-05-01' day, 'x' dropped")
+    schema = struct(k=STRING, n=BIGINT, day=DATE)
+    for _ in range(2):
+        layers.save_table(rows, "roomledger_saved", schema, str(tmp_path / "t"), ["day"])
+    try:
+        saved = spark.table("roomledger_saved")
+        assert saved.schema.simpleString() == "struct<k:string,n:bigint,day:date>"
+        assert [tuple(r) for r in saved.collect()] == [("a", 1, datetime.date(2024, 5, 1))]
+    finally:
+        spark.sql("DROP TABLE roomledger_saved")
