@@ -87,6 +87,5 @@ def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
 def op10_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return repeats.removed(docs).select(
-        "doc_id", F.col("_n_bytes").alias("n_bytes"), F.col("_n_removed").alias("n_removed"),
-        F.col("_n_spans").alias("n_spans"), F.sha2("_kept", 256).alias("kept_sha256"),
+        "row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )

@@ -41,7 +41,7 @@ LENGTH, GRAM = 200, 32
 #: Places that are hashed at a time.
 _PART = 1 << 18
 #: Bytes of contexts that are merged together, and different contexts of an anchor up to which they are.
-MERGED, HOT = 1 << 20, 4096
+MERGED, HOT = 1 << 18, 4096
 _ODD = 0x9E3779B97F4A7C15
 
 
@@ -129,41 +129,67 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def transform(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A short shard's suffix order, the symbol before each suffix (0 for none), and where that suffix stands."""
-    n = len(data)
-    order = np.array(sorted(range(n + 1), key=lambda i: data[i:]), np.int64)
-    place = np.empty(n + 1, np.int64)
-    place[order] = np.arange(n + 1)
-    symbols = np.concatenate([[0], np.frombuffer(data, np.uint8).astype(np.uint16) + 1]).astype(np.uint16)
-    return order, symbols[order], place[order - 1]
+def transform(data: bytes) -> np.ndarray:
+    """The order of a short shard's suffixes, the empty one first."""
+    text = data.decode("latin-1")  # letters in the order of the bytes
+    suffixes = [text[i:] for i in range(len(text) + 1)]
+    return np.array(sorted(range(len(text) + 1), key=suffixes.__getitem__), np.int32)
+
+
+def _dense(values: np.ndarray, size: int) -> tuple[np.ndarray, int]:
+    """Values below a size by their rank among the different ones, and how many these are."""
+    present = np.zeros(size, bool)
+    present[values] = True
+    rank = np.cumsum(present) - 1
+    return rank[values], int(rank[-1]) + 1
 
 
 def repeated(shards: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
-    """For each shard the places where a string of the length starts that starts elsewhere as well."""
-    parts = [transform(s) for s in shards]
+    """For each shard the places where a string of the length starts that starts elsewhere as well.
+
+    A round takes the order from h symbols to h + k: it sorts stably by the k symbols before each
+    suffix, which are the shards' transforms read k at a time, and goes on to the suffixes that begin
+    there. Where a shard has no k symbols left, its part ends. The largest k up to 4 is taken whose
+    words fit 16 bits; what then lacks of the length is rounds of one.
+    """
     sizes = np.array([len(s) + 1 for s in shards])
-    base = np.cumsum(sizes) - sizes
-    suffix = np.concatenate([p[0] for p in parts])
-    symbol = np.concatenate([p[1] for p in parts])
-    back = np.concatenate([p[2] + b for p, b in zip(parts, base)])
-    order, block = np.arange(len(suffix)), np.zeros(len(suffix), np.int32)
-    for _ in range(length):
-        s = symbol[order]
-        sort = np.argsort(s, kind="stable")
-        s, block = s[sort], block[sort]
-        order = back[order[sort]]
-        # A block begins where the symbol or the old block changes; the ends of shards are all different.
-        begins = np.ones(len(order) + 1, bool)
-        begins[1:-1] = (s[1:] != s[:-1]) | (block[1:] != block[:-1]) | (s[1:] == 0)
-        company = ~(begins[:-1] & begins[1:])
-        order = order[company]
-        block = np.cumsum(begins[:-1][company], dtype=np.int32)
-        if not len(order):
+    ends = np.cumsum(sizes)
+    suffix = np.concatenate([transform(s) for s in shards])
+    first = np.repeat(ends - sizes, sizes).astype(np.int32)
+    at = first + suffix
+    place = np.empty(len(at), np.int32)
+    place[at] = np.arange(len(at), dtype=np.int32)
+    text = np.frombuffer(b"\0".join(shards) + b"\0", np.uint8)
+
+    # Numbers for the words of one, two and four symbols that end before a text position.
+    words = np.concatenate([text[-1:], text[:-1]]).astype(np.int64)
+    kinds, step = 256, 1
+    while step < min(4, length) and kinds * kinds <= 1 << 22:
+        longer, more = _dense(words[np.arange(len(words)) - step] * kinds + words, kinds * kinds)
+        if more > 1 << 16:
             break
+        words, kinds, step = longer, more, 2 * step
+    order, block = np.arange(len(at), dtype=np.int32), np.zeros(len(at), np.int32)
+    for k, rounds in ((1, length % step), (step, length // step)):
+        symbols = (text[at - 1] if k == 1 else words[at]).astype(np.uint16)
+        back = np.where(suffix >= k, place[at - k], -1)
+        for _ in range(rounds):
+            left = back[order] >= 0
+            order, block = order[left], block[left]
+            s = symbols[order]
+            sort = np.argsort(s, kind="stable")
+            s, block = s[sort], block[sort]
+            order = back[order[sort]]
+            # A block begins where the symbols or the old block change.
+            begins = np.ones(len(order) + 1, bool)
+            begins[1:-1] = (s[1:] != s[:-1]) | (block[1:] != block[:-1])
+            company = ~(begins[:-1] & begins[1:])
+            order = order[company]
+            block = np.cumsum(begins[:-1][company], dtype=np.int32)
+            if not len(order):
+                break
     found = np.sort(order)
-    owner = np.searchsorted(base, found, "right") - 1
-    cuts = np.searchsorted(owner, np.arange(len(shards) + 1))
+    cuts = np.searchsorted(found, np.r_[0, ends])
     return [np.sort(suffix[found[i:j]]) for i, j in zip(cuts, cuts[1:])]
 
 
@@ -283,59 +309,55 @@ def spans(docs: DataFrame) -> DataFrame:
     )
 
 
-def _kept(place: int, names: list[str]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept, texts, counts = [], [], []
-            for text, found in zip(batch.column(place), batch.column(batch.num_columns - 1)):
-                data, found = (text.as_py() or "").encode(), found.as_py()
-                if not found:
-                    kept.append(data)
-                    texts.append(None)
-                    counts.append((len(data), 0, 0))
-                    continue
-                change = np.zeros(len(data) + 1, np.int32)
-                for f in found:
-                    for span in f["spans"]:
-                        change[f["lo"] + span["s"]] += 1
-                        change[f["lo"] + span["e"] + LENGTH] -= 1
-                gone = np.cumsum(change[:-1]) > 0
-                whole = np.frombuffer(data, np.uint8)
-                kept.append(whole[~gone].tobytes())
-                # In the text the parts of a cut character go as well.
-                letter = np.cumsum((whole & 0xC0) != 0x80) - 1
-                texts.append(whole[~(np.bincount(letter, gone) > 0)[letter]].tobytes().decode())
-                starts = int(np.count_nonzero(gone & ~np.r_[False, gone[:-1]]))
-                counts.append((len(data), int(gone.sum()), starts))
-            columns = [pa.array([c[i] for c in counts], pa.int64()) for i in range(3)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], *columns, pa.array(kept, pa.binary()), pa.array(texts, pa.string())],
-                [*names, "_n_bytes", "_n_removed", "_n_spans", "_kept", "_text"],
-            )
-
-    return run
+def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (row, found) with what remains of their texts."""
+    for batch in batches:
+        rows = batch.column(0)
+        place = rows.type.get_field_index("text")
+        kept, texts, counts = [], [], []
+        for text, found in zip(rows.field(place), batch.column(1)):
+            data, found = (text.as_py() or "").encode(), found.as_py()
+            if not found:
+                kept.append(data)
+                texts.append(None)
+                counts.append((len(data), 0, 0))
+                continue
+            change = np.zeros(len(data) + 1, np.int32)
+            for f in found:
+                for span in f["spans"]:
+                    change[f["lo"] + span["s"]] += 1
+                    change[f["lo"] + span["e"] + LENGTH] -= 1
+            gone = np.cumsum(change[:-1]) > 0
+            whole = np.frombuffer(data, np.uint8)
+            kept.append(whole[~gone].tobytes())
+            # In the text the parts of a cut character go as well.
+            letter = np.cumsum((whole & 0xC0) != 0x80) - 1
+            texts.append(whole[~(np.bincount(letter, gone) > 0)[letter]].tobytes().decode())
+            starts = int(np.count_nonzero(gone & ~np.r_[False, gone[:-1]]))
+            counts.append((len(data), int(gone.sum()), starts))
+        yield pa.RecordBatch.from_arrays(
+            [rows, *(pa.array([c[i] for c in counts], pa.int64()) for i in range(3)), pa.array(kept, pa.binary()),
+             pa.array(texts, pa.string())],
+            ["row", "n_bytes", "n_removed", "n_spans", "kept", "text"],
+        )
 
 
 def removed(docs: DataFrame) -> DataFrame:
-    """The rows with `_n_bytes`, `_n_removed`, `_n_spans` and the remaining bytes `_kept`; where bytes are
-    removed, `_text` is what remains in whole characters."""
-    found = spans(docs)
-    k1, k2 = _keys(docs)
-    joined = docs.select("*", k1.alias("_k1"), k2.alias("_k2")).join(
-        found, (F.col("_k1") == found["k1"]) & (F.col("_k2") == found["k2"]), "left"
-    ).select(*[docs[c] for c in docs.columns], found["found"].alias("_found"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    """Every row as `row`, with n_bytes, n_removed, n_spans and the remaining bytes `kept`; where bytes
+    are removed, `text` is what remains in whole characters."""
+    whole = docs.select(F.struct("*").alias("row"), *_keys(docs))
+    joined = whole.join(spans(docs), ["k1", "k2"], "left").select("row", "found")
+    fields = docs.select(F.struct("*").alias("row")).schema[0].dataType.simpleString()
     return joined.mapInArrow(
-        _kept(docs.columns.index("text"), docs.columns),
-        f"{fields}, _n_bytes bigint, _n_removed bigint, _n_spans bigint, _kept binary, _text string",
+        _kept, f"row {fields}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary, text string"
     )
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """The documents with the remaining text; the count of characters follows it."""
-    count = F.when(F.col("_n_removed") > 0, F.length("_text").cast("long")).otherwise(F.col("n_chars"))
-    text = F.when(F.col("_n_removed") > 0, F.col("_text")).otherwise(F.col("text"))
-    kept = removed(docs)
+    cut = F.col("n_removed") > 0
+    row = F.col("row").withField("text", F.when(cut, F.col("text")).otherwise(F.col("row.text")))
     if "n_chars" in docs.columns:
-        kept = kept.withColumn("n_chars", count)
-    return kept.withColumn("text", text).select(*docs.columns)
+        count = F.when(cut, F.length("text").cast("long")).otherwise(F.col("row.n_chars"))
+        row = row.withField("n_chars", count)
+    return removed(docs).select(row.alias("row")).select("row.*")
