@@ -9,8 +9,6 @@ from roomledger.session import scratch
 
 #: White space that separates words: blank, and the controls from tab to carriage return.
 SPACES = r"[\x20\x09-\x0D]+"
-#: The same characters for bytes.split and str.translate.
-SPACE_CHARS = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -29,10 +27,9 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, SPACES), "")
 
 
-def stored(frame: DataFrame, name: str, partition: str | None = None) -> DataFrame:
+def stored(frame: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it back, so that lost executors cost no recomputation."""
     spark: SparkSession = frame.sparkSession
     path = scratch(spark, name)
-    writer = frame.write.mode("overwrite")
-    (writer.partitionBy(partition) if partition else writer).parquet(path)
+    frame.write.mode("overwrite").parquet(path)
     return spark.read.schema(frame.schema).parquet(path)

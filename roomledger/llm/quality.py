@@ -12,7 +12,6 @@ are judged alike. Other columns, whatever their names, are not read.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -79,7 +78,7 @@ def _histograms(text: Column, words: Column) -> list[Column]:
                 kinds,
                 F.zip_with(
                     first,
-                    F.concat(F.slice(first, 2, F.greatest(F.size(first), F.lit(1))), F.array(F.size(s) + F.lit(1).cast("long"))),
+                    F.concat(F.slice(first, 2, F.size(first)), F.array(F.size(s) + F.lit(1).cast("long"))),
                     lambda a, b: (b - a).cast("double"),
                 ),
                 lambda w, n: F.struct(w.alias("word"), n.alias("n")),
@@ -205,8 +204,8 @@ def judged(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     ).join(references, F.col("lang").eqNullSafe(F.col("ref_lang")), "left")
     n_chars = F.aggregate("f.classes", F.lit(0.0), lambda x, y: x + y)
     classes = F.when(
-        F.col("ref_lang").isNotNull() | F.col("ref_classes").isNotNull(),
-        F.when(n_chars >= limits.class_chars, _distance(F.transform("f.classes", lambda x: x / n_chars), F.col("ref_classes"))),
+        F.col("ref_classes").isNotNull() & (n_chars >= limits.class_chars),
+        _distance(F.transform("f.classes", lambda x: x / n_chars), F.col("ref_classes")),
     )
     index = F.create_map(*(F.lit(x) for i, w in enumerate(COMMON_WORDS) for x in (w, i)))
     n_words = F.col("f.n_words").cast("double")
@@ -234,12 +233,11 @@ def judged(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     f = F.col("f")
     base = (f["n_words"] < limits.least_words) | (100 * f["n_repeat_words"] > limits.repeat_percent * f["n_words"])
     far = F.coalesce(classes > limits.class_distance, F.lit(False)) | F.coalesce(words > limits.word_distance, F.lit(False))
-    out = frame.select(
+    return frame.select(
         "row", "f.n_words", "f.word_chars", "f.n_symbols", "f.n_dup_lines", "f.n_repeat_words",
         F.round(classes, 6).alias("class_distance"), F.round(words, 6).alias("word_distance"),
         base.alias("base_failed"), (~base & ~far).alias("kept"),
     )
-    return out
 
 
 def kept(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
