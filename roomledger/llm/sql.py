@@ -103,8 +103,27 @@ TOPK_SQL = """
     SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM k WHERE rank <= 5
 """
 
+REPEATS_SQL = """
+    WITH h AS (SELECT row_number() OVER () AS r, doc_id, octet_length(encode(coalesce(text, ''))) AS n,
+                      hex(encode(coalesce(text, ''))) AS x FROM documents),
+    w AS (SELECT r, i, md5_number(substring(x, 2 * i + 1, 400)) AS k
+          FROM (SELECT r, x, unnest(range(0, n - 199)) AS i FROM h WHERE n >= 200)),
+    rep AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY k) AS c FROM w) WHERE c > 1),
+    run AS (SELECT r, i, sum(CASE WHEN i - before > 200 THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY i) AS run
+            FROM (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS before FROM rep)),
+    gone AS (SELECT r, run, min(i) AS s, max(i) + 200 AS e FROM run GROUP BY r, run),
+    part AS (SELECT r, run, coalesce(lag(e) OVER (PARTITION BY r ORDER BY run), 0) AS a, s, e FROM gone),
+    kept AS (SELECT h.r, string_agg(substring(x, 2 * a + 1, 2 * (s - a)), '' ORDER BY run) || any_value(substring(x, 2 * last + 1)) AS x,
+                    sum(e - s) AS removed, count(*) AS spans
+             FROM h JOIN part USING (r) JOIN (SELECT r, max(e) AS last FROM gone GROUP BY r) USING (r) GROUP BY h.r)
+    SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed,
+           CAST(coalesce(spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept.x, h.x))) AS kept_sha256
+    FROM h LEFT JOIN kept USING (r)
+"""
+
 SQL = {
     "op5_license_scan": licenses_sql(),
     "op7_topk_search": TOPK_SQL,
     "op9_quality_rules": quality_sql(),
+    "op10_suffix_array_dedup": REPEATS_SQL,
 }
