@@ -31,7 +31,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomledger.llm.common import text_of, words_of
+from roomledger.llm.common import frequent, stored, text_of, words_of
 from roomledger.session import ship_package
 
 #: Largest number of frequent words that the lexicon holds.
@@ -284,8 +284,9 @@ class Coder:
 
 def frequent_words(docs: DataFrame, size: int = LEXICON) -> list[str]:
     """The words that stand most often between white space, in lower case: at most `size`."""
-    counts = docs.select(F.explode(words_of(F.lower(text_of(docs)))).alias("w")).groupBy("w").count()
-    return [r[0] for r in counts.orderBy(F.desc("count"), "w").limit(size).select("w").collect()]
+    words = docs.select(F.explode(words_of(F.lower(text_of(docs)))).alias("word"))
+    counts = stored(words.groupBy("word").agg(F.count("*").alias("c")).where("c > 1"), "bpe-words")
+    return [word for word, _ in frequent(counts, size)]
 
 
 def lexicon_file(words: Iterable[str], rules: Rules) -> str:
@@ -311,14 +312,20 @@ def _coder(rules_name: str, lexicon_name: str) -> Coder:
     return _CODERS[key]
 
 
+def _shared(spark: SparkSession, path: str) -> str:
+    """Give a file to all executors; a name that they have already is the same content."""
+    name = os.path.basename(path)
+    if not any(name == os.path.basename(f) for f in spark.sparkContext.listFiles):
+        spark.sparkContext.addFile(path)
+    return name
+
+
 def coded(docs: DataFrame, vocabulary: str, size: int = LEXICON, id_column: str = "doc_id") -> DataFrame:
     """(doc_id, ids, decoded): the ids as bytes of 32-bit integers, and the text they decode to."""
     spark: SparkSession = docs.sparkSession
     ship_package(spark)
     lexicon = lexicon_file(frequent_words(docs, size), Rules(vocabulary))
-    for path in (vocabulary, lexicon):
-        spark.sparkContext.addFile(path)
-    names = os.path.basename(vocabulary), os.path.basename(lexicon)
+    names = tuple(_shared(spark, path) for path in (vocabulary, lexicon))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(*names)

@@ -33,3 +33,22 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     path = scratch(spark, name)
     frame.write.mode("overwrite").parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def frequent(counts: DataFrame, size: int) -> list[tuple[str, int]]:
+    """The words of a stored table (word, c) with the largest counts, at most `size` of them.
+
+    Words of equal count are all in or all out, so that a first step over the counts finds the least one
+    and only the chosen words come to the driver. They are in order of count, then word.
+    """
+    steps = counts.groupBy("c").agg(F.count("*").alias("words")).orderBy(F.desc("c")).limit(size).collect()
+    least, words = None, 0
+    for step in steps:
+        words += step["words"]
+        if words > size:
+            break
+        least = step["c"]
+    if least is None:
+        return []
+    rows = counts.where(F.col("c") >= least).select("word", "c").collect()
+    return sorted(((r["word"], r["c"]) for r in rows), key=lambda r: (-r[1], r[0]))
