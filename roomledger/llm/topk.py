@@ -30,11 +30,13 @@ from roomledger.llm.common import stored
 from roomledger.session import ship_package
 
 #: Vectors and queries of a block.
-VECTORS, QUERIES = 4096, 512
+VECTORS, QUERIES = 8192, 512
 #: Steps of the quantiser per dimension.
-STEPS = 32
+STEPS = 16
 #: Parts in which the segments of a query are processed; the proof is tried after each.
-ROUNDS = 8
+ROUNDS = 4
+#: The proof is good when at most one row in so many is left to be scored exactly.
+RESCORED = 4
 
 _PACKED = "block bigint, width int, ids binary, data binary"
 
@@ -78,7 +80,7 @@ def packed(vectors: DataFrame, size: int) -> DataFrame:
 
 
 class Index:
-    """Postings of one block, by dimension and impact."""
+    """Postings of one block: by dimension the rows in order of their quantised component."""
 
     def __init__(self, vectors: np.ndarray):
         self.vectors = vectors
@@ -87,50 +89,70 @@ class Index:
         step = (self.high - self.low) // STEPS + 1
         level = (vectors - self.low) // step
         order = np.argsort(level, axis=0, kind="stable").T
-        self.rows = np.ascontiguousarray(order, np.int32).ravel()
-        self.values = np.take_along_axis(vectors.T, order, 1).ravel().astype(np.float64)
+        self.rows = np.ascontiguousarray(order, np.intp)
+        values = np.take_along_axis(vectors.T, order, 1).astype(np.float64)
+        # What a posting is above the worst end, for queries that want large and small components.
+        self.gains = (self.high[:, None] - values, values - self.low[:, None])
         edges = self.low[:, None] + np.arange(STEPS + 1) * step[:, None]
         self.below, self.above = edges[:, :-1], np.minimum(edges[:, 1:] - 1, self.high[:, None])
         flat = (np.arange(dims)[:, None] * STEPS + level.T).ravel()
-        self.sizes = np.bincount(flat, minlength=dims * STEPS)
-        self.ends = np.cumsum(self.sizes)
+        sizes = np.bincount(flat, minlength=dims * STEPS).reshape(dims, STEPS)
+        self.ends = np.concatenate([np.zeros((dims, 1), np.int64), np.cumsum(sizes, 1)], 1)
+        self.filled = sizes > 0
+        # Sums of products below 2**53 are exact in doubles.
+        self.largest = float(np.abs(vectors).max())
+        self.doubles = vectors.astype(np.float64)
 
     def candidates(self, query: np.ndarray, other: np.ndarray, k: int) -> np.ndarray:
         """The rows of `other` that may be among its best k; all others are proven not to be."""
         n, dims = self.vectors.shape
         q = query.astype(np.float64)
-        worst = np.where(q >= 0, self.low, self.high)
-        reach = np.where(q[:, None] >= 0, self.above - worst[:, None], worst[:, None] - self.below)
-        bound = (np.abs(q)[:, None] * reach).ravel()
-        bound[self.sizes == 0] = 0.0
-        order = np.argsort(-bound, kind="stable")
-        order = order[self.sizes[order] > 0]
-        sums, met = np.zeros(n), np.zeros(n)
-        parts = [x for x in np.array_split(order, ROUNDS) if len(x)]
-        for part, rest in zip(parts, [*parts[1:], None]):
-            places = [slice(self.ends[s] - self.sizes[s], self.ends[s]) for s in part.tolist()]
-            rows = np.concatenate([self.rows[x] for x in places])
-            values = np.concatenate([self.values[x] for x in places])
-            of = np.repeat(part // STEPS, self.sizes[part])
-            sums += np.bincount(rows, (values - worst[of]) * q[of], n)
-            met += np.bincount(rows, minlength=n)
-            if rest is None:
-                break
-            left = bound[rest[0]]  # the largest bound not processed
-            upper = sums + left * (dims - met)
+        up = q >= 0
+        worst = np.where(up, self.low, self.high)
+        reach = np.where(up[:, None], self.above - worst[:, None], worst[:, None] - self.below)
+        bound = np.where(self.filled, np.abs(q)[:, None] * reach, 0.0)
+        falling = np.sort(bound[self.filled])[::-1]
+        # The segments of a dimension with a bound above a limit are neighbours at its better end.
+        done = np.where(up, n, 0)
+        size, up_list, both = np.abs(q), up.astype(int).tolist(), np.zeros(n)
+        unit = 2.0 ** np.ceil(np.log2(bound.max(1).sum() + 2))
+        if unit * (dims + 1) > 2.0**53:
+            return other  # too large for exact sums in doubles: all are scored exactly
+        for part in range(1, ROUNDS):
+            left = falling[len(falling) * part // ROUNDS]  # the largest bound that stays open
+            above = bound > left
+            any_ = above.any(1)
+            lowest = np.where(any_, np.argmax(above, 1), STEPS)  # first level that is taken, upwards
+            beyond = np.where(any_, STEPS - np.argmax(above[:, ::-1], 1), 0)  # after the last, downwards
+            d = np.arange(dims)
+            to = np.where(up, self.ends[d, lowest], self.ends[d, beyond])
+            lo, hi = np.where(up, to, done), np.where(up, done, to)
+            rows = np.concatenate([self.rows[i, lo[i] : hi[i]] for i in range(dims)])
+            if len(rows):
+                gain = np.concatenate([self.gains[up_list[i]][i, lo[i] : hi[i]] for i in range(dims)])
+                gain *= np.repeat(size, hi - lo)
+                gain += unit  # counts the dimensions met beside the sums
+                both += np.bincount(rows, gain, n)
+            met = np.floor(both / unit)
+            sums = both - met * unit
+            done = to
             floor = np.partition(sums[other], -k)[-k]
-            may = other[upper[other] >= floor * (1 - 1e-9) - 1e-6]
-            if len(may) <= 16 * k:
+            upper = sums + left * (dims - met)
+            may = other[upper[other] >= floor - 1e-6 * (1 + abs(floor))]
+            if len(may) <= n // RESCORED:
                 return may
-        floor = np.partition(sums[other], -k)[-k]
-        return other[sums[other] >= floor - 1e-6 * (1 + abs(floor))]
+        return other
 
     def best(self, query: np.ndarray, ids: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and exact scores of the best k, without rows of the query's own id."""
         rows = np.flatnonzero(ids != own)
         if len(rows) > 16 * k:
             rows = self.candidates(query, rows, k)
-        scores = self.vectors[rows] @ query
+        exact = self.largest * float(np.abs(query).max()) * len(query) < 2.0**53
+        if exact:
+            scores = (self.doubles[rows] @ query.astype(np.float64)).astype(np.int64)
+        else:
+            scores = self.vectors[rows] @ query
         top = np.lexsort((ids[rows], -scores))[:k]
         return ids[rows][top], scores[top]
 
