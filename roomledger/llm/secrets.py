@@ -25,8 +25,14 @@ from pyspark.sql import functions as F
 from roomledger.functions.text import let
 from roomledger.llm.common import stored, text_of
 
-#: A run of at least 12 token characters that has a digit.
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_-]{12,}={0,2}"
+#: A run of at least 12 token characters that has a digit. An equals sign ends a run, so that NAME=value has
+#: the value as a run of its own; it is part of one only as padding, with no value or quote behind it.
+CANDIDATE = (
+    r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{12,}"
+    r"(?:={1,2}(?![A-Za-z0-9+/_=\"'-]))?"
+)
+#: Least length of a candidate.
+LEAST = 12
 #: Characters that are looked at before and after a candidate.
 BEFORE, AFTER = 48, 24
 
@@ -65,22 +71,34 @@ FEATURES = (
 
 
 def with_candidates(docs: DataFrame) -> DataFrame:
-    """The rows as `row` with `_row` and `cands`: (start, text, before, after) of every candidate."""
+    """The rows as `row` with `_row` and `cands`: (text, before, after, gap) of every candidate.
+
+    `before` and `after` are of the whole text: other candidates near by are part of them.
+    """
+    near = lambda items, i: F.coalesce(F.get(items, i), F.lit(""))
+
+    def around(x: Column, i: Column, c: Column) -> Column:
+        # So many candidates and the gaps between them fill the length that is looked at.
+        back, ahead = -(-BEFORE // LEAST), -(-AFTER // LEAST)
+        before = [p for k in range(back, 0, -1) for p in (near(x["tails"], i - k), near(x["found"], i - k))]
+        after = [p for k in range(1, ahead + 1) for p in (near(x["heads"], i + k), near(x["found"], i + k))]
+        return F.struct(
+            c.alias("text"),
+            F.right(F.concat(*before, near(x["tails"], i)), F.lit(BEFORE)).alias("before"),
+            F.left(F.concat(*after, near(x["heads"], i + ahead + 1)), F.lit(AFTER)).alias("after"),
+            F.get(x["sizes"], i).alias("gap"),
+        )
 
     def cands(t: Column) -> Column:
         found = F.regexp_extract_all(t, F.lit(CANDIDATE), F.lit(0))
-        return let(
-            F.struct(found.alias("found"), F.split(t, CANDIDATE).alias("gaps")),
-            lambda x: F.transform(
-                x["found"],
-                lambda c, i: F.struct(
-                    c.alias("text"),
-                    F.right(F.get(x["gaps"], i), F.lit(BEFORE)).alias("before"),
-                    F.left(F.get(x["gaps"], i + 1), F.lit(AFTER)).alias("after"),
-                    F.length(F.get(x["gaps"], i)).alias("gap"),
-                ),
-            ),
+        cut = F.struct(found.alias("found"), F.split(t, CANDIDATE).alias("gaps"))
+        ends = lambda x: F.struct(
+            x["found"].alias("found"),
+            F.transform(x["gaps"], lambda g: F.right(g, F.lit(BEFORE))).alias("tails"),
+            F.transform(x["gaps"], lambda g: F.left(g, F.lit(AFTER))).alias("heads"),
+            F.transform(x["gaps"], lambda g: F.length(g)).alias("sizes"),
         )
+        return let(cut, lambda g: let(ends(g), lambda x: F.transform(x["found"], lambda c, i: around(x, i, c))))
 
     return docs.select(
         F.struct("*").alias("row"), F.monotonically_increasing_id().alias("_row"),

@@ -189,6 +189,47 @@ def test_secrets_of_odd_rows(spark):
     assert secrets.masked(empty(spark)).count() == 0 and secrets.scanned(empty(spark)).count() == 0
 
 
+def test_secrets_assigned_without_quotes(spark):
+    """NAME=value, .env lines, URL parameters and names with digits: the value goes, the name stays."""
+    random.seed(14)
+    some = lambda chars, n: "".join(random.choice(chars) for _ in range(n - 1)) + "7"
+    low, high = "abcdef0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    forms = [
+        ("api_key=", lambda: "AKIA" + some(high, 16), " and more"),
+        ("AWS_REGION=eu-west\nAWS_ACCESS_KEY_ID=", lambda: "AKIA" + some(high, 16), "\nDEBUG=no\n"),
+        ("aws_access_key_id2=", lambda: "AKIA" + some(high, 16), ""),
+        ("https://a.example/v?access_token=", lambda: "ghp_" + some(high, 36), "&page=2"),
+        ("password=", lambda: "hunter2hunter2" + some(low, 6), ""),
+        ('oauth2_token_v2: "', lambda: some(low, 32), '" ends'),
+        ("client_secret_v10=", lambda: some(low, 32) + "==", " ends"),
+        ("call me at ", lambda: "4" + some("0123456789", 15), " or later"),
+        ("width=", lambda: "4" + some("0123456789", 15), " or later"),
+    ]
+    rows, want = [], {}
+    for i in range(360):
+        lead, value, tail = forms[i % 9]
+        value = value()
+        rows.append((i, f"Some words first. {lead}{value}{tail}"))
+        want[i] = f"Some words first. {lead}{value if i % 9 > 6 else secrets.MASK}{tail}"
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {r["doc_id"]: r["text"] for r in secrets.masked(docs).collect()} == want
+
+
+def test_secret_contexts_are_of_the_whole_text(spark):
+    random.seed(15)
+    text = ""
+    for i in range(60):
+        text += f"ab{i:02}" + "x" * random.choice([8, 9, 40]) + random.choice([" ", "=", ': "', " ü ", " some words between " * 4])
+    cands = secrets.with_candidates(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()["cands"]
+    end = 0
+    for c in cands:
+        start = end + c["gap"]
+        end = start + len(c["text"])
+        assert text[start:end] == c["text"]
+        assert c["before"] == text[max(0, start - secrets.BEFORE) : start] and c["after"] == text[end : end + secrets.AFTER]
+    assert len(cands) == 60
+
+
 # --- language model -----------------------------------------------------------------
 
 
