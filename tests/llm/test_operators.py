@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(pathlib.Path(__file__).resolve().parents[2]))
 
 from roomledger.llm import (  # noqa: E402
-    bpe, components, licenses, lm, packing, quality, repeats, secrets, simhash, topk, webtext,
+    bpe, components, licenses, lm, neardups, packing, quality, repeats, secrets, simhash, topk, webtext,
 )
 
 LONG = " ".join(f"word{i} and the other one" for i in range(40_000))
@@ -389,6 +389,43 @@ def test_simhash_of_odd_rows(spark):
     assert simhash.kept(empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("words,changed", [(200, 1), (200, 3), (500, 8), (100, 1)])
+def test_near_copies_share_a_band(words, changed):
+    """Copies of an index of 0.85 or more are candidates; 64-bit fingerprints at four bits leave most of them apart."""
+    random.seed(words + changed)
+    for _ in range(50):
+        a = [f"w{random.randrange(10**6)}" for _ in range(words)]
+        b = list(a)
+        for i in random.sample(range(words), changed):
+            b[i] = "other"
+        x, y = neardups.bands(neardups.shingles(" ".join(a))), neardups.bands(neardups.shingles(" ".join(b)))
+        assert any(p == q for p, q in zip(x, y))
+
+
+def test_near_duplicates_equal_a_plain_version(spark):
+    random.seed(16)
+    word = lambda: f"w{random.randrange(10**5)}"
+    group = [word() for _ in range(60)]
+    rows = [(0, " ".join(word() for _ in range(60)))]
+    for i in range(1, 240):
+        text = list(group) if i % 3 == 0 else rows[random.randrange(len(rows))][1].split() if i % 3 == 1 else [word() for _ in range(random.choice([3, 5, 30, 200]))]
+        for _ in range(random.randrange(4)):
+            text[random.randrange(len(text))] = word()
+        rows.append((i, " ".join(text)))
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (t.split() for _, t in rows)]
+    root = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) and root[i] != root[j]:
+                old, new = max(root[i], root[j]), min(root[i], root[j])
+                root = [new if r == old else r for r in root]
+    got = {r["doc_id"] for r in neardups.kept(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == set(root)
+    kept = neardups.kept(odd(spark))
+    assert kept.columns == odd(spark).columns and kept.count() == 5
+    assert neardups.kept(empty(spark)).count() == 0
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 900)], "a bigint, b bigint")
     got = {r["node"]: r["root"] for r in components.components(edges).collect()}
