@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomledger.llm import bpe, licenses, lm, packing, quality, repeats, secrets, simhash, topk, webtext
+from roomledger.llm import bpe, licenses, lm, packing, quality, repeats, resample, secrets, simhash, topk, webtext
 from roomledger.llm.common import stored
 from roomledger.llm.sql import SQL  # noqa: F401
 
@@ -89,3 +89,8 @@ def op10_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.removed(docs).select(
         "row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query
+def op11_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resample.drawn(table(spark, folder, "documents"), table(spark, folder, "benchmark"))

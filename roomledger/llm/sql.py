@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from roomledger.llm import licenses, quality
+from roomledger.llm import licenses, quality, resample
+from roomledger.llm.common import UPPER
 
 
 def _texts(values: Sequence[str]) -> str:
@@ -92,6 +93,47 @@ def licenses_sql() -> str:
     """
 
 
+def resample_sql(draw: resample.Draw = resample.Draw()) -> str:
+    """The checksum is computed byte by byte from its rule, once for each different feature."""
+    words = (
+        "list_filter(regexp_split_to_array(lower_ascii, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
+    )
+    lower = f"translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}')"
+    runs = " UNION ALL ".join(
+        f"SELECT side, r, array_to_string(ws[i : i + {n}], ' ') AS feature FROM (SELECT side, r, ws, unnest(range(1, len(ws) - {n} + 1)) AS i FROM w)"
+        for n in range(draw.run)
+    )
+    shifts = ", ".join(["0"] * 8)
+    step = "CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END"
+    return f"""
+    WITH a AS (SELECT 0 AS side, row_number() OVER () AS r, doc_id, {lower} AS lower_ascii FROM documents
+               UNION ALL SELECT 1, row_number() OVER (), NULL, {lower} FROM benchmark),
+    w AS (SELECT side, r, doc_id, {words} AS ws FROM a),
+    f AS ({runs}),
+    t AS (SELECT list(list_reduce(list_prepend(b, [{shifts}]::BIGINT[]), lambda c, x: {step}) ORDER BY b) AS steps
+          FROM range(256) AS g(b)),
+    k AS (SELECT feature,
+                 xor(list_reduce(list_prepend(4294967295, list_transform(range(octet_length(encode(feature))),
+                       lambda p: CAST('0x' || substring(hex(encode(feature)), 2 * p + 1, 2) AS BIGINT))),
+                     lambda c, b: xor(c // 256, steps[xor(c % 256, b) + 1])), 4294967295) % {draw.buckets} AS bucket
+          FROM (SELECT DISTINCT feature FROM f), t),
+    n AS (SELECT bucket, count(*) FILTER (side = 0) AS s, count(*) FILTER (side = 1) AS t FROM f JOIN k USING (feature) GROUP BY bucket),
+    sums AS (SELECT coalesce(sum(s), 0) + {draw.buckets} AS ss, coalesce(sum(t), 0) + {draw.buckets} AS tt FROM n),
+    gain AS (SELECT bucket, CAST(floor(1000 * ln(CAST(t + 1 AS DOUBLE) * CAST(ss AS DOUBLE) / (CAST(s + 1 AS DOUBLE) * CAST(tt AS DOUBLE)))) AS BIGINT) AS g
+             FROM n, sums),
+    own AS (SELECT r, count(*) AS n_features, CAST(floor(sum(g) / CAST(count(*) AS DOUBLE)) AS BIGINT) AS weight
+            FROM f JOIN k USING (feature) JOIN gain USING (bucket) WHERE side = 0 GROUP BY r),
+    z AS (SELECT doc_id, len(ws) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+                 CAST('0x' || substring(sha256('{draw.seed}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h
+          FROM w LEFT JOIN own USING (r) WHERE side = 0),
+    y AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score FROM z),
+    x AS (SELECT *, n_words >= {draw.least_words} AS able,
+                 row_number() OVER (PARTITION BY n_words >= {draw.least_words} ORDER BY score DESC, doc_id) AS place,
+                 count(*) OVER (PARTITION BY n_words >= {draw.least_words}) AS n FROM y)
+    SELECT doc_id, n_features, weight, score, CASE WHEN able AND place <= {draw.percent} * n // 100 THEN place END AS rank FROM x
+    """
+
+
 TOPK_SQL = """
     WITH v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
                FROM embeddings
@@ -126,4 +168,5 @@ SQL = {
     "op7_topk_search": TOPK_SQL,
     "op9_quality_rules": quality_sql(),
     "op10_suffix_array_dedup": REPEATS_SQL,
+    "op11_importance_resampling": resample_sql(),
 }
