@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomledger.llm import bpe, licenses, lm, packing, quality, repeats, resample, secrets, simhash, topk, webtext
+from roomledger.llm import (
+    bpe, licenses, lm, packing, quality, repeats, resample, secrets, simhash, topk, webtext, whitening,
+)
 from roomledger.llm.common import stored
 from roomledger.llm.sql import SQL  # noqa: F401
 
@@ -94,3 +96,9 @@ def op10_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op11_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     return resample.drawn(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    white = whitening.whitened(table(spark, folder, "embeddings"))
+    return white.withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
