@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roomledger.llm import (
-    bpe, licenses, lm, packing, quality, repeats, resample, secrets, simhash, topk, webtext, whitening,
+    bpe, licenses, lm, packing, quality, repeats, resample, secrets, simhash, topk, toxicity, webtext,
+    whitening,
 )
 from roomledger.llm.common import stored
 from roomledger.llm.sql import SQL  # noqa: F401
@@ -102,3 +103,9 @@ def op11_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
 def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
     white = whitening.whitened(table(spark, folder, "embeddings"))
     return white.withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
+
+
+@query
+def op13_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    judged = toxicity.scored(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return judged.select("doc_id", "held_out", "score", "predicted")
