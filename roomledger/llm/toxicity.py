@@ -51,7 +51,7 @@ class Settings:
     span: int = 7
     decay: float = 0.75
     power: int = 3
-    landmarks: int = 256
+    landmarks: int = 128
     #: The sample of labelled documents: so many of either label, by hash, of at most so many words.
     documents: int = 1500
     longest: int = 600
@@ -64,7 +64,7 @@ class Settings:
     calibration: int = 4
     threshold: float = 0.7
     #: Words a task remembers.
-    memory: int = 500_000
+    memory: int = 1_000_000
 
 
 # --- words and their subsequences ----------------------------------------------------------
@@ -99,13 +99,17 @@ def _class_of(points: np.ndarray) -> np.ndarray:
     return _CLASS[0][np.where(points < 1 << 16, points, 0)]
 
 
-def sentences(text: str, settings: Settings) -> list[list[str]]:
+def sentences(text: str, settings: Settings) -> list[dict[str, None]]:
     """The different words of all sentences, in lower case and in order."""
     text = _SPELLED.sub(lambda m: m[0].replace(" ", "·"), text.lower())
-    found = []
+    found, size, different = [], settings.sentence, dict.fromkeys
     for part in _END.split(text):
         words = part.split()
-        found += [list(dict.fromkeys(words[i : i + settings.sentence])) for i in range(0, len(words), settings.sentence)]
+        if len(words) <= size:
+            if words:
+                found.append(different(words))
+        else:
+            found += [different(words[i : i + size]) for i in range(0, len(words), size)]
     return found
 
 
@@ -196,7 +200,7 @@ class Model:
         """Remember the values of words; those of earlier ones are given up when there are too many."""
         if len(self.known) + len(words) > self.settings.memory:
             self.known = {}
-        bare = {w: w.strip(_MARKS) for w in words if w not in self.known}  # marks around a word weigh nothing
+        bare = {w: w.strip(_MARKS) for w in words.difference(self.known)}  # marks around a word weigh nothing
         new = [w for w in dict.fromkeys(bare.values()) if w not in self.known]
         for at in range(0, len(new), _STEP):
             part = new[at : at + _STEP]
@@ -212,12 +216,15 @@ class Model:
         if self.landmarks is None:
             return [(self.bias, None)] * len(texts)
         cut = [sentences(t, self.settings) for t in texts]
-        self.learn({w for s in cut for ws in s for w in ws})
+        words = set()
+        for own in cut:
+            words.update(*own)
+        self.learn(words)
         value, found = self.known.__getitem__, []
         for own in cut:
             best, where = 0.0, None
             for words in own:
-                margin = math.fsum(map(value, words))
+                margin = sum(map(value, words))
                 if where is None or margin > best:
                     best, where = margin, words
             found.append((self.bias + best, " ".join(where) if where else None))
@@ -287,21 +294,25 @@ def inverse_root(kernel: np.ndarray) -> np.ndarray:
 
 
 def separated(x: np.ndarray, y: np.ndarray, cost: float) -> np.ndarray:
-    """The linear machine of least |w|^2 / 2 + cost * sum of squared hinges; the last entry is the bias."""
-    x = np.c_[x, np.ones(len(x))]
+    """The linear machine of least |w|^2 / 2 + cost * sum of squared hinges; the last column of x is the bias's."""
     rule = np.eye(x.shape[1])
     rule[-1, -1] = 1e-6
     w = np.zeros(x.shape[1])
+    blocks = [slice(i, i + _STEP) for i in range(0, len(x), _STEP)]
 
     def loss(v: np.ndarray) -> float:
-        return v @ rule @ v / 2 + cost * float((np.maximum(0, 1 - y * (x @ v)) ** 2).sum())
+        return v @ rule @ v / 2 + cost * sum(float((np.maximum(0, 1 - y[b] * (x[b] @ v)) ** 2).sum()) for b in blocks)
 
     now = loss(w)
     for _ in range(50):
-        active = y * (x @ w) < 1
-        own = x[active]
-        gradient = rule @ w + 2 * cost * own.T @ (own @ w - y[active])
-        step = np.linalg.solve(rule + 2 * cost * own.T @ own, gradient)
+        gradient, curvature = rule @ w, rule.copy()
+        for b in blocks:
+            own, side = x[b].astype(np.float64), y[b]
+            active = side * (own @ w) < 1
+            own = own[active]
+            gradient += 2 * cost * own.T @ (own @ w - side[active])
+            curvature += 2 * cost * own.T @ own
+        step = np.linalg.solve(curvature, gradient)
         size = 1.0
         while loss(w - size * step) > now - 1e-4 * size * (gradient @ step) and size > 1e-6:
             size /= 2
@@ -338,6 +349,22 @@ def logistic(margin: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tuple
     return float(w[0]), float(w[1])
 
 
+def _vectors(cut: Sequence[Iterable[str]], landmarks: Landmarks, root: np.ndarray) -> np.ndarray:
+    """The vector of every sentence, and a column of ones; some sentences' words are handled at a time."""
+    found = np.ones((len(cut), root.shape[1] + 1), np.float32)
+    for at in range(0, len(cut), _STEP // 4):
+        part = cut[at : at + _STEP // 4]
+        words = list(dict.fromkeys(w for ws in part for w in ws))
+        units, owner = _rows(words, landmarks.settings.piece)
+        values = np.zeros((len(words), len(landmarks.words)))
+        for i in range(0, len(units), _STEP):
+            np.add.at(values, owner[i : i + _STEP], landmarks.kernel(units[i : i + _STEP]))
+        number = {w: i for i, w in enumerate(words)}
+        for i, ws in enumerate(part):
+            found[at + i, :-1] = values[[number[w] for w in ws]].sum(0) @ root
+    return found
+
+
 def fit(texts: Sequence[str], toxic: Sequence[bool], held: Sequence[bool], share: float, settings: Settings) -> Model:
     """The machine of some labelled texts; those that are held are for the curve only.
 
@@ -354,14 +381,8 @@ def fit(texts: Sequence[str], toxic: Sequence[bool], held: Sequence[bool], share
         return constant
     landmarks = Landmarks(names, settings)
     root = inverse_root(landmarks.kernel(names).astype(np.float64))
-    vocabulary = sorted({w for s in cut for ws in s for w in ws})
-    units, owner = _rows(vocabulary, settings.piece)
-    vectors = np.zeros((len(vocabulary), root.shape[1]))
-    for i in range(0, len(units), _STEP):
-        np.add.at(vectors, owner[i : i + _STEP], landmarks.kernel(units[i : i + _STEP]) @ root)
-    number = {w: i for i, w in enumerate(vocabulary)}
     doc_of = np.array([i for i, s in enumerate(cut) for _ in s], np.int64)
-    x = np.array([vectors[[number[w] for w in ws]].sum(0) for s in cut for ws in s]).reshape(-1, root.shape[1])
+    x = _vectors([ws for s in cut for ws in s], landmarks, root)
     label = np.where(y[doc_of], 1.0, -1.0)
     # At first by the likelihood ratio of a sentence's surest word.
     margin = np.array([max((tell.get(w, 0.0) for w in ws), default=0.0) for s in cut for ws in s]) - SURE
@@ -370,7 +391,7 @@ def fit(texts: Sequence[str], toxic: Sequence[bool], held: Sequence[bool], share
         if not (used & y[doc_of]).any():
             used = ~held_[doc_of]
         w = separated(x[used], label[used], settings.cost)
-        margin = x @ w[:-1] + w[-1]
+        margin = x @ w
     best = np.full(len(cut), -np.inf)
     np.maximum.at(best, doc_of, margin)
     best[~np.isfinite(best)] = w[-1]
