@@ -50,7 +50,7 @@ class Settings:
     #: Letters a subsequence may span, and what each of them costs.
     span: int = 7
     decay: float = 0.75
-    power: int = 3
+    power: int = 2
     landmarks: int = 128
     #: The sample of labelled documents: so many of either label, by hash, of at most so many words.
     documents: int = 1500
