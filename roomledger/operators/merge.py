@@ -87,6 +87,49 @@ def merge_rows(
     return rows.withColumns(ranks).groupBy(*keys).agg(*merged, *extra)
 
 
+def _order(value: Column, rank: Column | None, seq: Sequence[str]) -> Column:
+    """What decides between two values of a column: the larger order wins, null never does."""
+    late = [F.col(s).cast("bigint").alias(s) for s in seq]
+    if rank is None:
+        return F.when(value.isNotNull(), F.struct(F.lit(1).alias("rank"), *late))
+    early = [(-F.col(s)).cast("bigint").alias(s) for s in seq]
+    rank = rank.cast("int").alias("rank")
+    return F.when(rank == 1, F.struct(rank, *late)).otherwise(F.struct(rank, *early))
+
+
+def merge_state(
+    rows: DataFrame, keys: Sequence[str], seq: Sequence[str], policies: Mapping[str, str] | None = None
+) -> DataFrame:
+    """One row per key with, for every other column, its winner and the order that made it win.
+
+    States merge with each other (`combine_states`), in any grouping, sequence and
+    number of times, so rows that are part of a state are never needed again.
+    """
+    policies = policies or {}
+    fields = [f for f in rows.schema if f.name not in keys and f.name not in seq]
+    orders = {
+        f"_order_{f.name}": _order(F.col(f.name), _rank(F.col(f.name), f.dataType, policies.get(f.name, RICHER)), seq)
+        for f in fields
+    }
+    winners = []
+    for f in fields:
+        order = F.col(f"_order_{f.name}")
+        pair = F.struct(order.alias("order"), F.col(f.name).alias("value"))
+        winners.append(F.max_by(pair, order).alias(f.name))
+    return rows.withColumns(orders).groupBy(*keys).agg(*winners)
+
+
+def combine_states(states: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of several states to one row per key."""
+    rest = [c for c in states.columns if c not in keys]
+    return states.groupBy(*keys).agg(*[F.max_by(c, F.col(c)["order"]).alias(c) for c in rest])
+
+
+def state_values(state: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The merged rows of a state."""
+    return state.select(*[F.col(c) if c in keys else F.col(c)["value"].alias(c) for c in state.columns])
+
+
 def upsert(
     store: DataFrame,
     batch: DataFrame,

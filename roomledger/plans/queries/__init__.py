@@ -8,6 +8,7 @@ from roomledger.plans.queries import (  # noqa: F401
     pages,
     profiles,
     stores,
+    streams,
     texts,
 )
 from roomledger.plans.queries.registry import QUERIES, SQL  # noqa: F401

@@ -25,7 +25,7 @@ from roomledger.sources.layers import (
 )
 
 
-def _run_of(spark: SparkSession, checkpoint: str) -> int:
+def run_of(spark: SparkSession, checkpoint: str) -> int:
     """The number of the checkpoint's run: the time when it was new, kept beside it."""
     path = f"{checkpoint}/run-number"
     try:
@@ -54,7 +54,7 @@ def upsert_stream(
 ) -> StreamingQuery:
     """Start the query; by default it takes what is there and stops."""
     stored = bronze_schema(stream.schema, day)
-    run = _run_of(stream.sparkSession, checkpoint)
+    run = run_of(stream.sparkSession, checkpoint)
     order = [*ARRIVAL, *seq]
 
     def write(batch: DataFrame, batch_id: int) -> None:
