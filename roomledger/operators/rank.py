@@ -8,48 +8,39 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roomledger.operators.joins import null_safe_join
+from roomledger.session import scratch
 
-_DIGIT = 16
+_INSIDE = (1 << 33) - 1  # of monotonically_increasing_id: the row inside its partition
 
 
-def dense_rank_in(
-    rows: DataFrame, groups: Sequence[str], value: str, name: str = "rank", digits: int = 3
-) -> DataFrame:
-    """Add the dense rank of a non-negative integral column, highest first, null without value.
+def dense_rank_in(rows: DataFrame, groups: Sequence[str], value: str, name: str = "rank") -> DataFrame:
+    """Add the dense rank of a column of any ordered type, highest first, null without value.
 
     A window over a whole group would gather the group in one task. Here the
-    distinct values are ranked digit by digit (16 bits each): a value's rank is
-    its place among the values that share its leading digits plus the number of
-    values with a higher leading part. Every window partition holds at most
-    65,536 rows below the top digit, and the top one does for values under
-    2 ** (16 * digits); a value beyond that ends the job.
+    distinct values of all groups are sorted by range partitions and stored, so
+    that a group is spread over as many partitions as it needs, each of even size.
+    The rank of a value is its place in its partition plus the number of values
+    its group has in the partitions before; only these counts, one per partition
+    and group in it, meet in a window. Numbers may be negative or fractions; NaN
+    is the highest, and -0.0 and 0.0 are one value, as for Spark's own windows.
     """
     groups = list(groups)
-    limit = 1 << (_DIGIT * digits)
-    whole = F.col(value).cast("bigint")
-    fits = F.col(value).isNull() | ((whole >= 0) & (whole < limit))
-    message = F.lit(f"{value} is not between 0 and 2 ** {_DIGIT * digits} - 1")
-    rows = rows.withColumn(value, F.when(fits, F.col(value)).otherwise(F.raise_error(message)))
-    level = rows.select(*groups, value).distinct().withColumn("_n", F.lit(1).cast("bigint"))
-    key = value
-    levels = []
-    for d in range(digits):
-        upper = f"_up{d}"
-        last = d == digits - 1
-        if not last:
-            level = level.withColumn(upper, F.shiftright(F.col(key).cast("bigint"), _DIGIT))
-        window = Window.partitionBy(*groups, *([] if last else [upper])).orderBy(F.desc_nulls_last(key))
-        above = F.coalesce(
-            F.sum("_n").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        )
-        levels.append(level.withColumn(f"_above{d}", above).drop("_n"))
-        if not last:
-            level = level.groupBy(*groups, upper).agg(F.sum("_n").alias("_n"))
-            key = upper
-    ranked = levels[0]
-    for d in range(1, digits):
-        ranked = null_safe_join(ranked, levels[d], [*groups, f"_up{d - 1}"])
-    total = sum((F.col(f"_above{d}") for d in range(1, digits)), F.col("_above0"))
-    ranks = ranked.select(*groups, value, (total + 1).alias(name))
-    ranks = ranks.withColumn(name, F.when(F.col(value).isNotNull(), F.col(name)))
-    return null_safe_join(rows, ranks, [*groups, value])
+    spark = rows.sparkSession
+    if not groups:
+        one = F.lit(0).alias("_all")
+        return dense_rank_in(rows.select("*", one), ["_all"], value, name).drop("_all")
+    path = scratch(spark, "rank")
+    distinct = rows.where(F.col(value).isNotNull()).select(*groups, value).distinct()
+    ordered = distinct.orderBy(*groups, F.desc(value)).withColumn("_row", F.monotonically_increasing_id())
+    ordered.write.parquet(path)
+    place = F.col("_row")
+    ordered = spark.read.schema(ordered.schema).parquet(path).select(
+        *groups, value, F.shiftright(place, 33).alias("_part"), place.bitwiseAND(_INSIDE).alias("_row")
+    )
+    runs = ordered.groupBy(*groups, "_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
+    before = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    ranks = null_safe_join(ordered, runs, [*groups, "_part"]).select(
+        *groups, value, (F.col("_before") + F.col("_row") - F.col("_first") + 1).alias(name)
+    )
+    return null_safe_join(rows, ranks, [*groups, value], "left")

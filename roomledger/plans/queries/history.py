@@ -11,6 +11,7 @@ from roomledger.operators import gold, history, rank
 from roomledger.plans.queries.merging import MERGED_SQL, merged
 from roomledger.plans.queries.registry import query, table
 from roomledger.plans.queries.texts import AMENITY_VALUES, LISTING_TEXT
+from roomledger.session import scratch
 
 CENTS = "CAST(round(value * 100) AS BIGINT)"
 
@@ -178,3 +179,91 @@ def structured_search(spark: SparkSession, folder: str) -> DataFrame:
         50,
     )
     return found.select(*keys, "p_name", "n_name", "rating", "price")
+
+
+@query(
+    "rank_by_change",
+    f"""
+    WITH c AS (SELECT item_id, day, event_type,
+                      (cents - lag(cents) OVER (PARTITION BY item_id ORDER BY day)) / 7.0::DOUBLE AS change
+               FROM ({HISTORY_SQL}))
+    SELECT item_id, CAST(day AS VARCHAR) AS day, event_type, change,
+           CASE WHEN change IS NOT NULL THEN
+               CAST(dense_rank() OVER (PARTITION BY event_type ORDER BY change DESC NULLS LAST) AS BIGINT) END AS change_rank
+    FROM c
+    """,
+)
+def rank_by_change(spark: SparkSession, folder: str) -> DataFrame:
+    """Dense rank by a signed fraction, the price change per day of a week; null for an item's first day."""
+    rows = history.changes(_history(spark, folder), "item_id", "day", ["cents"])
+    rows = rows.select(
+        "item_id", F.col("day").cast("string").alias("day"), "event_type", (F.col("cents_change") / 7.0).alias("change")
+    )
+    return rank.dense_rank_in(rows, ["event_type"], "change", "change_rank")
+
+
+PRICED = f"""
+    SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day, n_name AS city, o_orderpriority AS kind,
+           CASE WHEN o_orderstatus = 'P' THEN NULL ELSE {PRICE_CENTS} - 10000000 END AS cents
+    FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+"""
+
+
+def _priced(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as listings of a day, city and kind; some without a price, some below zero."""
+    orders = table(spark, folder, "orders").select(
+        "o_custkey", F.to_date("o_orderdate").cast("string").alias("day"), F.col("o_orderpriority").alias("kind"),
+        F.when(F.col("o_orderstatus") != "P", F.expr(PRICE_CENTS) - 10000000).alias("cents"),
+    )
+    places = table(spark, folder, "customer").join(
+        table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
+    ).select("c_custkey", F.col("n_name").alias("city"))
+    return orders.join(places, F.col("o_custkey") == F.col("c_custkey")).select("day", "city", "kind", "cents")
+
+
+@query(
+    "gold_rollup",
+    f"""
+    SELECT substr(day, 1, 7) AS month, city, kind,
+           CAST(2 - grouping(city) - grouping(kind) AS INTEGER) AS depth, count(*) AS listings,
+           CAST(sum(cents) AS DOUBLE) / count(cents) AS avg_price, min(cents) AS min_price, max(cents) AS max_price
+    FROM ({PRICED}) GROUP BY GROUPING SETS ((month, city, kind), (month, city), (month))
+    """,
+)
+def gold_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    """The market of a month by city and kind, by city, and whole, from stored daily sums."""
+    path = scratch(spark, "gold-daily")
+    daily = gold.daily_partials(_priced(spark, folder), ["day", "city", "kind"], "cents")
+    daily.write.parquet(path)
+    stored = spark.read.schema(daily.schema).parquet(path).withColumn("month", F.substring("day", 1, 7))
+    return gold.market_rollup(stored, ["month"], ["city", "kind"])
+
+
+SHARES = (0.1, 0.25, 0.5, 0.75, 0.9, 1.0)
+
+_LOW = "((abs(q) >> s) << s)"
+
+
+@query(
+    "gold_percentiles",
+    f"""
+    WITH r AS (SELECT city, cents, row_number() OVER (PARTITION BY city ORDER BY cents) AS place,
+                      count(*) OVER (PARTITION BY city) AS n
+               FROM ({PRICED}) WHERE cents IS NOT NULL),
+    q AS (SELECT city, share, n, cents AS q, greatest(length(bin(abs(cents))) - {gold.SUMMARY_BITS}, 0) AS s
+          FROM r, (SELECT unnest({list(SHARES)}::DOUBLE[]) AS share) WHERE place = greatest(ceil(share * n), 1))
+    SELECT city, share, n, CASE WHEN q < 0 THEN -({_LOW} + (1::BIGINT << s) - 1) ELSE {_LOW} END AS low,
+           CASE WHEN q < 0 THEN -{_LOW} ELSE {_LOW} + (1::BIGINT << s) - 1 END AS high
+    FROM q
+    """,
+)
+def gold_percentiles(spark: SparkSession, folder: str) -> DataFrame:
+    """Price quantiles of a city over all days, from the stored summaries of the days.
+
+    The bounds are those of the summary's cell; the SQL sorts all prices and takes the cell of the exact one.
+    """
+    path = scratch(spark, "gold-quantiles")
+    daily = gold.quantile_summary(_priced(spark, folder), ["day", "city"], "cents")
+    daily.write.parquet(path)
+    stored = spark.read.schema(daily.schema).parquet(path)
+    return gold.quantiles(gold.combine_summaries(stored, ["city"]), ["city"], SHARES)
