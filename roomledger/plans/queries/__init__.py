@@ -2,6 +2,7 @@
 
 from roomledger.plans.queries import (  # noqa: F401
     coverage,
+    drifting,
     history,
     listings,
     merging,
