@@ -426,6 +426,36 @@ def test_near_duplicates_equal_a_plain_version(spark):
     assert neardups.kept(empty(spark)).count() == 0
 
 
+def test_a_large_group_of_near_copies(spark):
+    """2,000 copies of one text, a tenth of all pairs at 0.8 or more, and 300 texts that share half of it."""
+    random.seed(17)
+    base = [f"w{random.randrange(10**6)}" for _ in range(120)]
+    rows = []
+    for i in range(2300):
+        text = list(base)
+        if i < 2000:
+            for j in random.sample(range(120), random.choice([1, 1, 2, 3])):
+                text[j] = f"x{random.randrange(10**6)}"
+        else:
+            text[60:] = [f"y{random.randrange(10**6)}" for _ in range(60)]
+        rows.append((i, " ".join(text)))
+    sets = [neardups.shingles(t) for _, t in rows]
+    marks = {h: i for i, h in enumerate(sorted({h for x in sets for h in x.tolist()}))}
+    table = np.zeros((len(sets), len(marks)), np.float32)
+    for i, x in enumerate(sets):
+        table[i, [marks[h] for h in x.tolist()]] = 1
+    common, n = table @ table.T, table.sum(1)
+    near = 9 * common >= 4 * (n[:, None] + n[None, :])
+    label = np.arange(len(sets))
+    while True:
+        lower = np.minimum(label, np.where(near, label[None, :], len(sets)).min(1))
+        if (lower == label).all():
+            break
+        label = lower
+    kept = {r["doc_id"] for r in neardups.kept(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)).collect()}
+    assert kept == set(label.tolist())
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 900)], "a bigint, b bigint")
     got = {r["node"]: r["root"] for r in components.components(edges).collect()}
