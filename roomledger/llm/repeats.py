@@ -278,7 +278,7 @@ def spans(docs: DataFrame) -> DataFrame:
     ship_package(docs.sparkSession)
     text = text_of(docs)
     base = docs.select(*_keys(docs), text.alias("text")).where(F.octet_length("text") >= LENGTH)
-    every = base.mapInArrow(_occurrences, _OCCURRENCE)
+    every = stored(base.mapInArrow(_occurrences, _OCCURRENCE), "repeats-occurrences")
     again = stored(every.groupBy("a").agg(F.count("*").alias("m")).where("m > 1").select("a"), "repeats-anchors")
     places = stored(every.join(again, "a", "left_semi").select("k1", "k2", "a", "c", "lo", "n"), "repeats-places")
     kinds = stored(
