@@ -330,11 +330,17 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             gone = np.cumsum(change[:-1]) > 0
             whole = np.frombuffer(data, np.uint8)
             kept.append(whole[~gone].tobytes())
+            edges = np.flatnonzero(np.diff(gone, prepend=False, append=False)).reshape(-1, 2).tolist()
+            counts.append((len(data), int(gone.sum()), len(edges)))
             # In the text the parts of a cut character go as well.
-            letter = np.cumsum((whole & 0xC0) != 0x80) - 1
-            texts.append(whole[~(np.bincount(letter, gone) > 0)[letter]].tobytes().decode())
-            starts = int(np.count_nonzero(gone & ~np.r_[False, gone[:-1]]))
-            counts.append((len(data), int(gone.sum()), starts))
+            for start, end in edges:
+                while data[start] & 0xC0 == 0x80:
+                    start -= 1
+                    gone[start] = True
+                while end < len(data) and data[end] & 0xC0 == 0x80:
+                    gone[end] = True
+                    end += 1
+            texts.append(whole[~gone].tobytes().decode())
         yield pa.RecordBatch.from_arrays(
             [rows, *(pa.array([c[i] for c in counts], pa.int64()) for i in range(3)), pa.array(kept, pa.binary()),
              pa.array(texts, pa.string())],
