@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,3 +55,10 @@ def frequent(counts: DataFrame, size: int) -> list[tuple[str, int]]:
         return []
     rows = counts.where(F.col("c") >= least).select("word", "c").collect()
     return sorted(((r["word"], r["c"]) for r in rows), key=lambda r: (-r[1], r[0]))
+
+
+def sliced(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of a few hundred rows, so that what is made from a part stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)

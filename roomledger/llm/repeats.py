@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roomledger.llm.common import stored, text_of
+from roomledger.llm.common import sliced, stored, text_of
 from roomledger.session import ship_package
 
 LENGTH, GRAM = 200, 32
@@ -106,7 +106,7 @@ _OCCURRENCE = "k1 bigint, k2 bigint, a bigint, c bigint, lo bigint, n int"
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The contexts of the texts (k1, k2, text)."""
     digest = xxhash.xxh3_64_intdigest
-    for batch in batches:
+    for batch in sliced(batches):
         k1, k2 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         rows, anchors, lows, sizes, hashes = [], [], [], [], []
         for i, text in enumerate(batch.column(2)):
@@ -311,7 +311,7 @@ def spans(docs: DataFrame) -> DataFrame:
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (row, found) with what remains of their texts."""
-    for batch in batches:
+    for batch in sliced(batches):
         rows = batch.column(0)
         place = rows.type.get_field_index("text")
         kept, texts, counts = [], [], []
