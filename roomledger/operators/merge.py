@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -145,6 +145,34 @@ def upsert(
     return merge_rows(both, keys, [stage, *seq], policies)
 
 
+def counted_upsert(
+    store: DataFrame,
+    batch: DataFrame,
+    keys: Sequence[str],
+    seq: Sequence[str],
+    counters: Observation,
+    policies: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """`upsert` that counts while its rows are written; `observed_counters` has the result after that."""
+    stage = "_stage"
+    both = store.withColumn(stage, F.lit(0)).unionByName(
+        batch.withColumn(stage, F.lit(1)), allowMissingColumns=True
+    )
+    extra = [F.min(stage).alias("_new"), F.sum(stage).alias("_arrived")]
+    merged = merge_rows(both, keys, [stage, *seq], policies, extra)
+    seen = merged.observe(
+        counters, F.sum("_new").alias("inserted"), F.sum("_arrived").alias("arrived"), F.count(F.lit(1)).alias("total")
+    )
+    return seen.drop("_new", "_arrived")
+
+
+def observed_counters(spark: SparkSession, counters: Observation) -> DataFrame:
+    """One row (inserted, updated, total) of an upsert whose rows were written."""
+    found = counters.get
+    inserted, arrived = found["inserted"] or 0, found["arrived"] or 0
+    return spark.createDataFrame([(inserted, arrived - inserted, found["total"])], "inserted bigint, updated bigint, total bigint")
+
+
 def upsert_counters(store: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row (inserted, updated, total); repeats inside a batch are updates.
 

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roomledger.operators import gold, merge
-from roomledger.plans.filestore import upsert_files
+from roomledger.plans.filestore import read_buckets, upsert_buckets, upsert_files
 from roomledger.plans.queries.merging import MERGED_SQL, NOTE, SEQ, STORE_BATCH_SQL, observations
 from roomledger.plans.queries.registry import query, table
 from roomledger.schema import BIGINT, DATE, DOUBLE, STRING, TIMESTAMP_NTZ, struct
 from roomledger.session import scratch
-from roomledger.sources import csvfile, jsonl, layers
+from roomledger.sources import csvfile, guarded, jsonl, layers
 from roomledger.streaming.upsert import upsert_stream
 
 ORDER = struct(
@@ -254,6 +254,32 @@ def file_store_upsert(spark: SparkSession, folder: str) -> DataFrame:
     return csvfile.read_csv(spark, f"{home}/csv", STORED)
 
 
+BUCKETS = 32
+
+
+@query(
+    "bucketed_store_upsert",
+    f"""
+    WITH l AS (SELECT * FROM events WHERE event_type NOT IN ('view', 'click', 'error')),
+    b AS (SELECT DISTINCT CAST('0x' || substr(md5(concat_ws(chr(31), user_id, CAST(ts AS DATE))), 1, 4) AS BIGINT) % {BUCKETS} AS bucket
+          FROM l WHERE user_id = (SELECT min(user_id) FROM l))
+    SELECT *, (SELECT count(*) FROM b) AS rewritten, CAST({BUCKETS} AS BIGINT) AS buckets FROM ({STORE_BATCH_SQL})
+    """,
+)
+def bucketed_store_upsert(spark: SparkSession, folder: str) -> DataFrame:
+    """Two upserts into a bucketed store, and late rows of one item again, which rewrite the buckets of its days only."""
+    store, keys = scratch(spark, "bucketed"), ("item_id", "day")
+    rows = observations(spark, folder).withColumn("day", F.col("day").cast("string"))
+    early = F.col("event_type").isin("view", "click", "error")
+    upsert_buckets(spark, rows.where(early), SEQ, store, keys, STORED, BUCKETS)
+    upsert_buckets(spark, rows.where(~early), SEQ, store, keys, STORED, BUCKETS)
+    item = rows.where(~early).agg(F.min("item_id")).first()[0]
+    counters = upsert_buckets(spark, rows.where(~early & (F.col("item_id") == item)), SEQ, store, keys, STORED, BUCKETS).first()
+    return read_buckets(spark, store, keys, STORED).withColumns(
+        {n: F.lit(counters[n]).cast("bigint") for n in ("rewritten", "buckets")}
+    )
+
+
 @query(
     "file_store_counters",
     """
@@ -312,3 +338,41 @@ def jsonl_untyped_values(spark: SparkSession, folder: str) -> DataFrame:
     rejected = jsonl.rejected_lines(spark, path, UNTYPED).agg(F.count(F.lit(1)).alias("rejected"))
     rows = jsonl.read_store(spark, path, ("o_orderkey", "o_orderdate"), UNTYPED)
     return rows.withColumn("rejected", rejected.scalar())
+
+
+@query(
+    "union_with_broken_source",
+    """
+    SELECT event_type AS source, event_id, user_id, value, CAST(NULL AS VARCHAR) AS reason FROM events
+    WHERE event_type NOT IN ('click', 'error')
+    UNION ALL SELECT DISTINCT event_type, NULL::BIGINT, NULL::BIGINT, NULL::DOUBLE,
+           CASE event_type WHEN 'click' THEN 'FAILED_READ_FILE' ELSE 'MALFORMED_RECORD_IN_PARSING' END
+    FROM events WHERE event_type IN ('click', 'error')
+    """,
+)
+def union_with_broken_source(spark: SparkSession, folder: str) -> DataFrame:
+    """A source for each kind of event, as Parquet or as JSON; one file is no Parquet, one has a line cut short."""
+    home = scratch(spark, "sources")
+    schema = struct(event_id=BIGINT, user_id=BIGINT, value=DOUBLE)
+    parquet, lines = guarded.parquet_reader(schema), guarded.json_reader(schema)
+    events = table(spark, folder, "events")
+    sources = []
+    for kind in sorted(r[0] for r in events.select("event_type").distinct().collect()):
+        rows = events.where(F.col("event_type") == kind).select(*schema.names)
+        text = F.to_json(F.struct(*schema.names), {"ignoreNullFields": "false"})
+        path = f"{home}/{kind}"
+        if kind in ("click", "view"):
+            rows.write.parquet(path)
+        elif kind == "error":
+            rows.select(F.when(F.col("event_id") % 3 == 0, F.substring(text, 1, 12)).otherwise(text).alias("value")).write.text(path)
+        else:
+            rows.select(text.alias("value")).write.text(path)
+        if kind == "click":  # beside its good files
+            rows.limit(1).select(F.concat(F.lit("PAR1"), text).alias("value")).write.mode("append").text(path)
+        sources.append((path, parquet if kind in ("click", "view") else lines))
+    kept, broken = guarded.union_guarded(spark, sources, f"{home}/staging")
+    name = F.element_at(F.split("source", "/"), -1).alias("source")
+    none = F.lit(None)
+    return kept.select(name, "event_id", "user_id", "value", none.cast("string").alias("reason")).unionByName(
+        broken.select(name, none.cast("bigint").alias("event_id"), none.cast("bigint").alias("user_id"), none.cast("double").alias("value"), "reason")
+    )

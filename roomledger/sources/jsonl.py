@@ -16,7 +16,7 @@ LINE_ORDER = ["_file", "_split", "_line"]
 _OPTIONS = {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": "_corrupt"}
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
+def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Non-blank lines with their position."""
     lines = spark.read.text(path).select(
         strip(F.col("value")).alias("value"),
@@ -71,7 +71,7 @@ def rejected_lines(spark: SparkSession, path: str, schema: T.StructType = FLAT)
 
 def read_store(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     keys: tuple[str, ...] = ("hotel_id", "scrape_date"),
     schema: T.StructType = FLAT,
 ) -> DataFrame:
