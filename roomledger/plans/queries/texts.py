@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from roomledger import fixed_values as fixed
 from roomledger.functions import lists, numbers, places, reviews, text
+from roomledger.operators import phrases
 from roomledger.plans.queries.registry import query, table, values_sql
 from roomledger.session import dealt
 
@@ -924,3 +925,29 @@ def _room_text(k: Column) -> Column:
         F.lit("Suite "), number, F.lit(": "), (k % 3 + 1).cast("string"), F.lit(" Double Beds, "),
         (k + 10).cast("string"), F.lit(" m2, "), guests, policy,
     )
+
+
+#: Phrases are pieces of the texts themselves: so many of each, of 4 to 12 letters.
+PIECES = 20
+
+
+@query(
+    "keyword_join",
+    f"""
+    WITH t AS (SELECT conv_id, turn, lower(text) AS x FROM conversations WHERE text IS NOT NULL),
+    p AS (SELECT DISTINCT substr(x, CAST(1 + (turn * 7 + k * 11) % 150 AS BIGINT), CAST(2 + (conv_id + k) % 11 AS BIGINT)) AS phrase
+          FROM t, (SELECT unnest(range({PIECES})) AS k)),
+    m AS (SELECT conv_id, turn, phrase FROM t JOIN p ON phrase <> '' AND contains(x, phrase))
+    SELECT conv_id, turn, count(*) AS phrases, max(phrase) AS last_phrase FROM m GROUP BY conv_id, turn
+    """,
+)
+def keyword_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts joined with a table of thousands of phrases; the plan does not grow with the table."""
+    texts = table(spark, folder, "conversations").select("conv_id", "turn", F.lower("text").alias("x"))
+    place = F.expr("CAST(1 + (turn * 7 + k * 11) % 150 AS INT)")
+    size = F.expr("CAST(2 + (conv_id + k) % 11 AS INT)")
+    pieces = texts.select("*", F.explode(F.sequence(F.lit(0), F.lit(PIECES - 1))).alias("k")).select(
+        F.substring("x", place, size).alias("phrase")
+    )
+    found = phrases.phrase_join(texts, ["conv_id", "turn"], "x", pieces.distinct())
+    return found.groupBy("conv_id", "turn").agg(F.count(F.lit(1)).alias("phrases"), F.max("phrase").alias("last_phrase"))
