@@ -176,10 +176,10 @@ def test_a_repeated_batch_replaces_all_its_days(spark, tmp_path):
 def test_rank_bound(spark):
     from roomledger.operators.rank import dense_rank_in
 
-    rows = spark.createDataFrame([("g", 1 << 32)], "g string, v bigint")
-    with pytest.raises(Exception, match="is not between"):
-        dense_rank_in(rows, ["g"], "v", digits=2).collect()
-    assert dense_rank_in(rows, ["g"], "v").first()["rank"] == 1
+    """Values of any size and sign are ranked."""
+    rows = spark.createDataFrame([("g", v) for v in (1 << 62, 1 << 32, -1, -(1 << 62))], "g string, v bigint")
+    ranks = {r["v"]: r["rank"] for r in dense_rank_in(rows, ["g"], "v").collect()}
+    assert ranks == {1 << 62: 1, 1 << 32: 2, -1: 3, -(1 << 62): 4}
 
 
 def test_catalogued_table(spark, tmp_path):
