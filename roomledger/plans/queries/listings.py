@@ -289,7 +289,8 @@ ENRICHED_SQL = f"""
            CASE WHEN d.url IS NOT NULL THEN array_to_string(list_sort(list_distinct(
                 string_split(c.amenities, ',') || ['free_wifi', lower(d.c_mktsegment)])), ',')
                 ELSE c.amenities END AS amenities,
-           coalesce(d.images, c.images) AS images, coalesce(d.rooms, 0) AS rooms
+           coalesce(d.images, c.images) AS images, coalesce(d.rooms, 0) AS rooms,
+           d.longitude, c.distance, c.rooms_left, d.checkout_time, c.badges, d.c_custkey, d.c_mktsegment
     FROM ({CARDS_SQL}) c LEFT JOIN ({DETAILS_SQL}) d ON c.url = d.url
 """
 
@@ -333,26 +334,74 @@ def enriched_records(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query(
-    "flatten_record",
-    f"""
+def _json_list(column: str) -> str:
+    """SQL: the JSON text of a list that is kept as a text with commas."""
+    return f"""CASE WHEN {column} = '' THEN '[]' ELSE '["' || replace({column}, ',', '", "') || '"]' END"""
+
+
+FLAT_SQL = f"""
     SELECT page_id, CAST(unit AS BIGINT) AS unit, CAST(make_date(year(o_orderdate), 1, 1) AS VARCHAR) AS scrape_date,
-           '2024-05-01T08:00:00.' || t || '00001' AS scraped_at, hotel_id, name, 'City ' || t AS city,
-           'Vietnam' AS country, 'VND' AS currency, price AS price_per_night_vnd, status AS availability_status,
-           CASE WHEN unit = 0 THEN '["Free cancellation", "Breakfast included"]' ELSE '[]' END AS badges,
-           CASE WHEN languages = '' THEN '[]' ELSE '["English", "Vietnamese"]' END AS languages,
-           CASE WHEN images = '' THEN '[]' ELSE '["' || replace(images, ',', '", "') || '"]' END AS images
+           '2024-05-01T08:00:00.' || t || '00001' AS scraped_at, hotel_id, name, url, 'City ' || t AS city,
+           'Vietnam' AS country, address, distance AS distance_from_center, latitude, longitude,
+           price AS price_per_night_vnd, original AS original_price_vnd,
+           CASE WHEN original > price THEN CAST(format('{{:.1f}}', (original - price) / original * 100) AS DOUBLE) END
+           AS discount_pct,
+           'VND' AS currency, taxes AS taxes_included, taxes_text AS taxes_fees_text, score AS rating_score,
+           label AS rating_label, CAST(reviews AS BIGINT) AS review_count,
+           CASE WHEN enriched THEN '{{"staff": ' || format('{{:.1f}}', 9 + (c_custkey % 10) / 10.0) || ', "location": 8.0}}'
+                ELSE '{{}}' END AS review_categories,
+           type AS property_type, stars AS star_rating, status AS availability_status, rooms_left,
+           CASE WHEN enriched THEN
+               '[{{"name": "Double", "beds": "1 double bed", "size_sqm": 20, "max_guests": 2, "price_vnd": '
+               || CASE WHEN c_custkey > 0 THEN (c_custkey * 1000) || '.0' ELSE 'null' END || ', "cancellation": "free"}}, '
+               || '{{"name": "Suite", "beds": "2 king beds", "size_sqm": null, "max_guests": 4, "price_vnd": null, "cancellation": null}}]'
+               ELSE '[]' END AS room_types,
+           checkin_time, checkout_time, {_json_list("languages")} AS languages, description,
+           CASE WHEN enriched THEN '["Free WiFi", "' || c_mktsegment || '"]' ELSE '[]' END AS facilities_popular,
+           CASE WHEN enriched THEN '{{"Outdoors": ["Garden", "Terrace"], "Group 2": ["Lift"]}}' ELSE '{{}}' END AS facilities_all,
+           {_json_list("amenities")} AS amenities, {_json_list("badges")} AS badges, {_json_list("images")} AS images
     FROM ({ENRICHED_SQL})
-    """,
-)
+"""
+
+
+@query("flatten_record", FLAT_SQL)
 def flatten_record(spark: SparkSession, folder: str) -> DataFrame:
-    """Nested records to the flat row, nested values as JSON text."""
+    """Nested records to the flat row of 35 columns, nested values as JSON text."""
     flat = listing.flatten(enriched(spark, folder), keep=("page_id", "unit"))
-    return flat.select(
-        "page_id", F.col("unit").cast("bigint").alias("unit"), "scrape_date", "scraped_at", "hotel_id",
-        "name", "city", "country", "currency", "price_per_night_vnd", "availability_status",
-        "badges", "languages", "images",
-    )
+    whole = {name: F.col(name).cast("bigint") for name in ("unit", "star_rating", "rooms_left")}
+    return flat.withColumns(whole)
+
+
+_FILLED = {
+    "name": "name IS NOT NULL",
+    "pricing.price_per_night_vnd": "price IS NOT NULL",
+    "rating.score": "score IS NOT NULL",
+    "property.availability_status": "status IS NOT NULL",
+    "property.rooms_left": "rooms_left IS NOT NULL",
+    "location.address": "address IS NOT NULL",
+    "location.latitude": "latitude IS NOT NULL",
+    "location.distance_from_center": "distance IS NOT NULL",
+    "detail.description": "description IS NOT NULL",
+    "detail.checkin_time": "checkin_time IS NOT NULL",
+    "detail.checkout_time": "checkout_time IS NOT NULL",
+    "property.room_types": "rooms > 0",
+    "property.star_rating": "stars IS NOT NULL",
+    "rating.review_categories": "enriched",
+    "facilities.popular": "enriched",
+    "images": "images <> ''",
+}
+RECORD_PROFILE_SQL = f"""
+    WITH r AS ({ENRICHED_SQL}), p AS ({" UNION ALL ".join(
+        f"SELECT '{path}' AS field, count_if({test}) AS filled, count(*) AS total FROM r" for path, test in _FILLED.items()
+    )})
+    SELECT field, CAST(filled AS BIGINT) AS filled, total, CAST(100 * filled // total AS BIGINT) AS percent FROM p
+"""
+
+
+@query("record_completeness", RECORD_PROFILE_SQL)
+def record_completeness(spark: SparkSession, folder: str) -> DataFrame:
+    """How many records have each of the 16 paths of the profile, counted in one pass."""
+    return profile.completeness(enriched(spark, folder))
 
 
 @query(
