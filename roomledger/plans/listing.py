@@ -9,9 +9,10 @@ from pyspark.sql import types as T
 from roomledger import fixed_values as fixed
 from roomledger.functions import lists, places
 from roomledger.functions.jsontext import json_text
+from roomledger.functions.text import leading_text
 from roomledger.plans import silver
 from roomledger.schema import RECORD, ROOM
-from roomledger.sources.html import extract
+from roomledger.sources.html import Rule, extract
 from roomledger.sources.matchers import card_rules, detail_rules
 
 
@@ -55,6 +56,29 @@ def rejected_pages(search_pages: DataFrame) -> DataFrame:
     return rejected.select(*search_pages.columns, "reason")
 
 
+def card_dumps(search_pages: DataFrame) -> DataFrame:
+    """What to look at when matchers fail: a row per page, with the HTML and the text of its first card.
+
+    The card is the first match of the first container with any, as in extraction. A page without one
+    keeps its whole HTML and has no text; `has_card` tells them apart.
+    """
+    rules = [
+        Rule(field, container, take=take, first=True)
+        for container in fixed.CARD_CONTAINERS
+        for field, take in (("card_html", "html"), ("card_text", "text"))
+    ]
+    found = extract(search_pages, rules, keep_html=True)
+    return found.withColumns({
+        "has_card": F.size("card_html") > 0,
+        "card_html": leading_text(F.col("card_html")),
+        "card_text": leading_text(F.col("card_text")),
+    }).select(
+        *[c for c in search_pages.columns if c != "html"], "has_card",
+        F.when(F.col("has_card"), F.col("card_html")).otherwise(F.col("html")).alias("html"),
+        F.when(F.col("has_card"), F.col("card_text")).alias("text"),
+    )
+
+
 def card_records(
     cards: DataFrame, host: str = places.DEFAULT_HOST, country: str = fixed.COUNTRY
 ) -> DataFrame:

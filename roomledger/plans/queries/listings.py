@@ -601,3 +601,25 @@ def rejected_pages(spark: SparkSession, folder: str) -> DataFrame:
         rejected = listing.rejected_pages(pages)
         results.append(rejected.select("page_id", "reason"))
     return results[0].unionByName(results[1])
+
+
+@query(
+    "card_dumps",
+    """
+    SELECT page_id, 0 AS origin, false AS has_card, md5(html) AS digest, CAST(NULL AS VARCHAR) AS first_line FROM pages
+    UNION ALL
+    SELECT o_orderkey, 1, true, NULL, 'Stay & More ' || o_custkey FROM orders
+    """,
+)
+def card_dumps(spark: SparkSession, folder: str) -> DataFrame:
+    """The first card of every page for diagnosis: its text, and its HTML, or the page's where it has no card."""
+    real = dealt(table(spark, folder, "pages")).select("page_id", "url", "html", F.lit(0).alias("origin"))
+    made = search_pages(spark, folder).select("page_id", "url", "html", F.lit(1).alias("origin"))
+    dumps = listing.card_dumps(real.unionByName(made))
+    whole = F.col("html").startswith("<div data-testid='property-card'>") & F.col("html").endswith("b.jpg'></div>")
+    return dumps.select(
+        "page_id", "origin", "has_card",
+        # A made page's card is known but for its numbers; anything else shows as a digest.
+        F.when(~(F.col("has_card") & whole), F.md5("html")).alias("digest"),
+        F.split("text", "\n")[0].alias("first_line"),
+    )

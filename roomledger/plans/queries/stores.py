@@ -13,6 +13,7 @@ from roomledger.plans.queries.registry import query, table
 from roomledger.schema import BIGINT, DATE, DOUBLE, STRING, TIMESTAMP_NTZ, struct
 from roomledger.session import scratch
 from roomledger.sources import csvfile, guarded, jsonl, layers
+from roomledger.sources.pages import read_html_files, read_pages
 from roomledger.streaming.upsert import upsert_stream
 
 ORDER = struct(
@@ -376,3 +377,94 @@ def union_with_broken_source(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select(name, "event_id", "user_id", "value", none.cast("string").alias("reason")).unionByName(
         broken.select(name, none.cast("bigint").alias("event_id"), none.cast("bigint").alias("user_id"), none.cast("double").alias("value"), "reason")
     )
+
+
+def _nested_lines(spark: SparkSession, folder: str) -> str:
+    """A nested object per order: keys left out, nulls, blank texts, numbers as texts, and lines that are no object."""
+    path = scratch(spark, "nested")
+    key, price = F.col("o_orderkey"), F.col("o_totalprice").cast("string")
+    state = (
+        F.when(key % 4 == 0, F.lit(""))
+        .when(key % 4 == 1, F.lit('"status": null, '))
+        .when(key % 4 == 2, F.lit('"status": "  ", '))
+        .otherwise(F.concat(F.lit('"status": "'), F.col("o_orderstatus"), F.lit('", ')))
+    )
+    amount = F.when(key % 3 == 0, price).when(key % 3 == 1, F.concat(F.lit('"'), price, F.lit('"'))).otherwise(F.lit('"on request"'))
+    line = F.concat(
+        F.lit('{"id": '), key.cast("string"), F.lit(', '), state, F.lit('"pricing": {"total": '), amount,
+        F.lit('}, "tags": ["'), F.col("o_orderpriority"), F.lit('", "x"]}'),
+    )
+    table(spark, folder, "orders").select(
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.concat(F.lit("["), line, F.lit("]")))
+        .when(F.col("o_orderpriority") == "2-HIGH", F.lit('{"id": ')).otherwise(line).alias("value")
+    ).write.text(path)
+    return path
+
+
+_OBJECTS = "orders WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH')"
+NESTED = {"id": BIGINT, "status": STRING, "pricing.total": DOUBLE, "tags": T.ArrayType(STRING), "note": STRING}
+
+
+@query(
+    "jsonl_key_states",
+    f"""
+    SELECT 'id' AS path, CAST(0 AS BIGINT) AS absent, CAST(0 AS BIGINT) AS nulls, CAST(0 AS BIGINT) AS empty,
+           count(*) AS given, CAST(0 AS BIGINT) AS unfit FROM {_OBJECTS}
+    UNION ALL SELECT 'status', CAST(count_if(o_orderkey % 4 = 0) AS BIGINT), CAST(count_if(o_orderkey % 4 = 1) AS BIGINT),
+           CAST(count_if(o_orderkey % 4 = 2) AS BIGINT), CAST(count_if(o_orderkey % 4 = 3) AS BIGINT), 0 FROM {_OBJECTS}
+    UNION ALL SELECT 'pricing.total', 0, 0, 0, count(*), CAST(count_if(o_orderkey % 3 = 2) AS BIGINT) FROM {_OBJECTS}
+    UNION ALL SELECT 'tags', 0, 0, 0, count(*), 0 FROM {_OBJECTS}
+    UNION ALL SELECT 'note', count(*), 0, 0, 0, 0 FROM {_OBJECTS}
+    """,
+)
+def jsonl_key_states(spark: SparkSession, folder: str) -> DataFrame:
+    """Absent keys, explicit nulls, blank texts and values that do not fit, counted apart per path."""
+    return jsonl.key_states(jsonl.read_variants(spark, _nested_lines(spark, folder)), NESTED)
+
+
+@query(
+    "jsonl_nested_records",
+    f"""SELECT o_orderkey AS id, CASE o_orderkey % 4 WHEN 2 THEN '  ' WHEN 3 THEN o_orderstatus END AS status,
+               CASE WHEN o_orderkey % 3 < 2 THEN o_totalprice END AS total, o_orderpriority || ',x' AS tags,
+               o_orderkey % 4 = 1 AS cleared
+        FROM {_OBJECTS}""",
+)
+def jsonl_nested_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Typed values at any depth from one parse of a line; `cleared` tells a null that was written."""
+    lines = jsonl.read_variants(spark, _nested_lines(spark, folder))
+    at = lambda path: jsonl.value_at(F.col("record"), path, NESTED[path])
+    return lines.select(
+        at("id").alias("id"), at("status").alias("status"), at("pricing.total").alias("total"),
+        F.array_join(at("tags"), ",").alias("tags"), (jsonl.key_state(F.col("record"), "status") == "null").alias("cleared"),
+    )
+
+
+@query("html_file_pages", "SELECT page_id, md5(html) AS digest, CAST(length(html) AS BIGINT) AS n_chars FROM pages")
+def html_file_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page through a file of its own in a tree of folders."""
+    path = scratch(spark, "html")
+    table(spark, folder, "pages").select("page_id", "html").write.partitionBy("page_id").option("lineSep", "\n").text(path)
+    html = F.substring("html", F.lit(1), F.length("html") - 1)  # without the line end of the writer
+    return read_html_files(spark, path, "*.txt").select(
+        F.regexp_extract("url", r"page_id=(-?\d+)/", 1).cast("bigint").alias("page_id"),
+        F.md5(html).alias("digest"), F.length(html).cast("bigint").alias("n_chars"),
+    )
+
+
+@query(
+    "stored_pages",
+    """SELECT page_id, url, md5(html) AS digest, CAST(page_id % 25 AS BIGINT) AS page, '2024-05-01' AS scrape_date
+       FROM pages""",
+)
+def stored_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages kept as Parquet, read in the declared schema."""
+    path = scratch(spark, "pages")
+    table(spark, folder, "pages").select(
+        "page_id", "url", "html", F.lit("search").alias("page_kind"),
+        F.lit(None).cast("string").alias("city"), (F.col("page_id") % 25).cast("int").alias("page"),
+        F.lit(None).cast("string").alias("fetched_at"), F.lit("2024-05-01").cast("date").alias("scrape_date"),
+    ).write.parquet(path)
+    return read_pages(spark, path).where("page_kind = 'search'").select(
+        "page_id", "url", F.md5("html").alias("digest"), F.col("page").cast("bigint").alias("page"),
+        F.col("scrape_date").cast("string").alias("scrape_date"),
+    )

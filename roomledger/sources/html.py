@@ -90,6 +90,7 @@ class _Page:
         self._files: dict | None = None
         self._texts: dict[int, str] = {}
         self._selected: dict[tuple, list[_Node]] = {}
+        self.html = html
         self._read(html)
         while self._open:
             self._pop()
@@ -207,6 +208,11 @@ class _Page:
             text = self._texts[node.index] = _LINE.sub("\n", text).strip()
         return text
 
+    def outer(self, node: _Node) -> str:
+        """The element in the source, with its tags."""
+        ends = self.html.startswith("</", node.closed) and self.html[node.closed + 2 : node.closed + 2 + len(node.tag)].lower() == node.tag
+        return self.html[node.opened : self.html.find(">", node.closed) + 1 if ends else node.closed]
+
     def select(self, root: _Node | None, selector: str) -> list[_Node]:
         """Elements inside of another that match; several fields ask for the same ones."""
         key = (selector, -1 if root is None else root.index)
@@ -387,6 +393,8 @@ class _Finder:
             node = inside[0]
         if self.rule.take == "text":
             return page.text(node)
+        if self.rule.take == "html":
+            return page.outer(node)
         if self.rule.take == "raw":
             return (node.raw or page.text(node)).strip()
         values = ((node.attrs.get(name) or "").strip() for name in self.rule.take)

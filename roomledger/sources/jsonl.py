@@ -69,6 +69,49 @@ def rejected_lines(spark: SparkSession, path: str, schema: T.StructType = FLAT)
     return _parsed(spark, path, schema).where(~F.col("good")).select("value", *LINE_ORDER)
 
 
+def read_variants(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The lines that hold an object, as `record`, parsed once, with their position.
+
+    An object that repeats a key is none. The check sits in the generator: a filter would be pushed
+    below the parse and parse again.
+    """
+    parsed = F.array(F.struct(F.try_parse_json("value").alias("record")))
+    objects = F.filter(parsed, lambda p: F.schema_of_variant(p["record"]).startswith("OBJECT"))
+    return read_lines(spark, path).select(F.inline(objects), *LINE_ORDER)
+
+
+def value_at(record: Column, path: str, kind: T.DataType) -> Column:
+    """The value under a path such as "location.city", typed as `read_jsonl` does; null if it does not fit."""
+    if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        return F.try_variant_get(record, f"$.{path}", kind.simpleString())
+    return _typed(F.try_variant_get(record, f"$.{path}", "string"), kind)
+
+
+def key_state(record: Column, path: str) -> Column:
+    """"absent", "null" (written as such), "empty" (a text without content) or "given"."""
+    part = F.try_variant_get(record, f"$.{path}", "variant")
+    blank = strip(F.try_variant_get(record, f"$.{path}", "string")) == ""
+    return F.when(part.isNull(), "absent").when(F.is_variant_null(part), "null").when(blank, "empty").otherwise("given")
+
+
+def key_states(lines: DataFrame, fields: dict[str, T.DataType]) -> DataFrame:
+    """(path, absent, nulls, empty, given, unfit) per path over the lines of `read_variants`, in one pass.
+
+    `unfit` are given values that are not of the type.
+    """
+    kinds = ("absent", "null", "empty", "given")
+    each = F.array(*[
+        F.struct(
+            F.lit(path).alias("path"), key_state(F.col("record"), path).alias("state"),
+            value_at(F.col("record"), path, kind).isNull().alias("none"),
+        )
+        for path, kind in fields.items()
+    ])
+    rows = lines.select(F.inline(each))
+    counts = [F.count_if(F.col("state") == k).alias("nulls" if k == "null" else k) for k in kinds]
+    return rows.groupBy("path").agg(*counts, F.count_if((F.col("state") == "given") & F.col("none")).alias("unfit"))
+
+
 def read_store(
     spark: SparkSession,
     path: str | list[str],

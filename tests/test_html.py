@@ -169,3 +169,16 @@ def test_html_files_with_a_wrong_byte(spark, tmp_path):
 
     (tmp_path / "a.html").write_bytes(b"<p>\xff ok")
     assert read_html_files(spark, str(tmp_path)).first()["html"] == "<p>\ufffd ok"
+
+
+def test_first_card_of_a_page(spark):
+    card = "<div data-testid='property-card'><h3>One</h3><P>two<br>three</P></DIV>"
+    table = pages(
+        spark, ("search", "a", f"<body>{card}<div data-testid='property-card'>next</div></body>"),
+        ("search", "b", "<p>none</p>"), ("search", "c", None), ("search", "d", "<b data-hotelid=1>open"),
+    )
+    rows = {r["url"]: (r["has_card"], r["html"], r["text"]) for r in listing.card_dumps(table).collect()}
+    assert rows == {
+        "a": (True, card, "One\ntwo\nthree"), "b": (False, "<p>none</p>", None), "c": (False, None, None),
+        "d": (True, "<b data-hotelid=1>open", "open"),
+    }

@@ -26,12 +26,13 @@ def test_filters_and_columns_reach_the_scan(spark, sf):
 WITH_PYTHON = {
     "page_fields", "page_links", "card_records", "detail_records", "enriched_records",
     "flatten_record", "enrichment_counts", "room_table", "rejected_pages", "places_table",
-    "search_near_place",
+    "search_near_place", "record_completeness", "card_dumps",
 }
 WRITING = {
     "daily_silver", "daily_two_batches", "child_gold_tables", "jsonl_untyped_values", "jsonl_roundtrip", "jsonl_scan", "jsonl_line_counts", "csv_roundtrip",
     "csv_rebuild", "snapshot_lines", "medallion", "stream_upsert", "stream_replays",
     "batch_split_merge", "file_store_upsert", "file_store_counters",
+    "jsonl_key_states", "jsonl_nested_records", "html_file_pages", "stored_pages",
 }
 
 

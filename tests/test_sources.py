@@ -4,6 +4,8 @@ import datetime
 import json
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from roomledger import fixed_values as fixed
 from roomledger.plans import listing
@@ -193,3 +195,22 @@ def test_catalogued_table(spark, tmp_path):
         assert [tuple(r) for r in saved.collect()] == [("a", 1, datetime.date(2024, 5, 1))]
     finally:
         spark.sql("DROP TABLE roomledger_saved")
+
+
+def test_values_and_states_of_keys_from_one_parse(spark, tmp_path):
+    path = write(tmp_path / "v.jsonl", [
+        '{"a": 7.0, "b": {"c": "3"}, "l": ["x"]}', '{"a": null, "b": {"c": 1.5}}', '{"a": " ", "b": null, "l": "x"}',
+        '{"b": {}}', "[1]", '{"a": 1, "a": 2}', "{", "null",
+    ])
+    lines = jsonl.read_variants(spark, path)
+    fields = {"a": BIGINT, "b.c": BIGINT, "l": T.ArrayType(STRING)}
+    at = [jsonl.value_at(F.col("record"), p, k).alias(p.replace(".", "_")) for p, k in fields.items()]
+    frame = lines.select(*at)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in frame.collect()] == [(7, 3, ["x"]), (None, None, None), (None, None, None), (None, None, None)]
+    assert plan.lower().count("parsejson") == 1
+    states = {r["path"]: tuple(r)[1:] for r in jsonl.key_states(lines, fields).collect()}
+    # path: absent, nulls, empty, given, unfit
+    assert states == {"a": (1, 1, 1, 1, 0), "b.c": (2, 0, 0, 2, 1), "l": (2, 0, 0, 2, 1)}
+    empty = jsonl.read_variants(spark, write(tmp_path / "none.jsonl", []))
+    assert empty.count() == 0 and jsonl.key_states(empty, fields).count() == 0
