@@ -18,13 +18,14 @@ order is a row per such word, so what the driver gets is bounded by the template
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roomledger.functions.text import let
+from roomledger.functions.text import contains_any, let
 from roomledger.llm.common import stored, text_of
 
 #: What separates words: all of ASCII but digits and small letters.
@@ -146,6 +147,16 @@ def found_blocks(blocks: DataFrame, templates: Sequence[Template] = TEMPLATES) -
     )
 
 
+def telling_words(phrases: Sequence[tuple[str, str]]) -> list[str]:
+    """A few words of which every phrase has one: a text without any of them holds no phrase."""
+    left, chosen = [phrase.split() for phrase, _ in phrases], []
+    while left:
+        counts = Counter(word for words in left for word in dict.fromkeys(words))
+        chosen.append(max(counts, key=lambda word: (counts[word], len(word))))
+        left = [words for words in left if chosen[-1] not in words]
+    return chosen
+
+
 def scanned(
     docs: DataFrame,
     phrases: Sequence[tuple[str, str]] = PHRASES,
@@ -158,12 +169,13 @@ def scanned(
     """
     vocabulary = sorted({w for t in templates for w in t.words})
     least = min(t.required for t in templates)
+    telling = telling_words(phrases)
     # Full lower case: beyond A-Z it changes letters outside ASCII only, which no phrase has.
     text = F.lower(text_of(docs))
 
     def fields(t: Column) -> Column:
         words = F.array_remove(F.split(t, BETWEEN), "")
-        may = t.contains("license") | t.contains("cc")
+        may = contains_any(t, telling) if telling else F.lit(False)
         return let(
             words,
             lambda w: F.struct(
