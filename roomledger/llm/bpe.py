@@ -23,6 +23,7 @@ import os
 import tempfile
 import unicodedata
 from collections.abc import Iterable, Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,8 @@ LEXICON = 100_000
 #: Merged words that a worker remembers; when it is full it starts anew.
 REMEMBERED = 300_000
 _END = "</w>"
+#: Words of more letters are merged with a heap; the result is the same.
+_LONG = 64
 
 
 def byte_letters() -> list[str]:
@@ -69,6 +72,8 @@ class Rules:
         """The ids of one word, by merging the pair of lowest rank until none is left."""
         parts = [self.letters[b] for b in word.encode()]
         parts[-1] += _END
+        if len(parts) > _LONG:
+            return [self.ids[p] for p in self._joined(parts) if p in self.ids]
         none, rank_of = len(self.ranks), self.ranks.get
         ranks = [rank_of(pair, none) for pair in zip(parts, parts[1:])]
         while ranks and (rank := min(ranks)) < none:
@@ -87,6 +92,28 @@ class Rules:
         return [self.ids[p] for p in parts if p in self.ids]
 
 
+    def _joined(self, parts: list[str | None]) -> list[str]:
+        """The parts of a long word after all merges: pairs wait in a heap by rank and place."""
+        n, rank_of = len(parts), self.ranks.get
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, i) for i in range(n - 1) if (r := rank_of((parts[i], parts[i + 1]))) is not None]
+        heapify(heap)
+        while heap:
+            rank, i = heappop(heap)
+            j = after[i]
+            # A pair that has changed since it was put here has another rank, or its left part is gone.
+            if parts[i] is None or j == n or rank_of((parts[i], parts[j])) != rank:
+                continue
+            parts[i], parts[j] = parts[i] + parts[j], None
+            after[i] = after[j]
+            if after[i] < n:
+                before[after[i]] = i
+            for at in (before[i], i):
+                if at >= 0 and after[at] < n and (r := rank_of((parts[at], parts[after[at]]))) is not None:
+                    heappush(heap, (r, at))
+        return [p for p in parts if p is not None]
+
+
 class Words:
     """Splits texts into words and special ids."""
 

@@ -5,6 +5,7 @@ import hashlib
 import math
 import pathlib
 import random
+import time
 import re
 import sys
 import zlib
@@ -271,9 +272,32 @@ def test_lm_rare_words_and_gain(spark):
     assert score > base
 
 
+def test_bpe_of_long_words_takes_little_more_than_linear_time():
+    from tokenizers import Tokenizer
+
+    rules = bpe.Rules(public_tokenizers.path("word_bpe_49k.json"))
+    real = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    pick = random.Random(5)
+    for letters, n in (("ab", 65), ("a", 500), ("etaoinshr", 700), ("abcdefghijklmnopqrstuvwxyz", 3000), ("élö", 400)):
+        word = "".join(pick.choice(letters) for _ in range(n))
+        assert rules.merged(word) == real.encode(word, add_special_tokens=False).ids
+    word = "".join(pick.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(200_000))
+    start = time.perf_counter()
+    rules.merged(word)
+    assert time.perf_counter() - start < 10
+
+
 # --- licenses -----------------------------------------------------------------------
 
 
+def test_own_license_phrases(spark):
+    assert licenses.telling_words(licenses.PHRASES) == ["license", "cc"]
+    docs = spark.createDataFrame([(1, "This is the ZLIB notice here"), (2, "zlib, not noticed")], "doc_id bigint, text string")
+    rows = licenses.scanned(docs, phrases=(("zlib notice", "zlib"), ("free as in beer", "beer"))).collect()
+    assert {r["doc_id"]: (r["n_base"], r["first_word"], r["base_labels"]) for r in rows} == {1: (1, 3, "zlib"), 2: (0, None, "")}
+    assert {r["n_base"] for r in licenses.scanned(docs, phrases=()).collect()} == {0}
+
+
 def test_licenses_equal_a_plain_version(spark):
     random.seed(7)
     rows = [(r["doc_id"], r["text"]) for r in odd(spark).collect()]
