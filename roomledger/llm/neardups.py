@@ -27,6 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from roomledger.llm import simhash
 from roomledger.llm.common import sliced, stored
 from roomledger.llm.components import components
 from roomledger.session import ship_package
@@ -182,14 +183,22 @@ def _renamed(left: DataFrame, moved: DataFrame) -> DataFrame:
     return left.join(moved, "root", "left").select("same", "n", F.coalesce("to", "root").alias("root"), "buckets")
 
 
-def kept(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
-    """One row of every group: the smallest id, and of repeated ids the first row. All columns stay."""
+def kept(docs: DataFrame, id_column: str = "doc_id", fingerprints: bool = False) -> DataFrame:
+    """One row of every group: the smallest id, and of repeated ids the first row. All columns stay.
+
+    With `fingerprints` the groups of `simhash` come first, and those by the index are made of what they leave:
+    no two rows stay that either of the two links.
+    """
     ship_package(docs.sparkSession)
     rows = stored(
         docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("_row")),
         "neardup-rows",
     )
     made = stored(rows.select("_row", F.col("row.text").alias("text")).mapInArrow(_banded, _BANDS), "neardup-bands")
+    if fingerprints:
+        texts = rows.select("_row", F.col("row")[id_column].alias("id"), F.col("row.text").alias("text"))
+        prints = stored(simhash.with_fingerprint(texts).select("_row", "id", "fp"), "neardup-prints")
+        made = stored(made.join(simhash.firsts(prints), "_row", "left_semi"), "neardup-left")
     each = made.groupBy("same").agg(F.min("_row").alias("_row"))
     texts = rows.select("_row", F.col("row.text").alias("text")).join(each, "_row").select("same", "text")
     entries = stored(

@@ -229,14 +229,19 @@ def grouped(rows: DataFrame, id_column: str = "doc_id", name: str = "fp") -> Dat
     return rows.join(named, rows[name] == named["_fp"]).drop("_fp")
 
 
+def firsts(rows: DataFrame) -> DataFrame:
+    """(_row): of every group of stored rows (id, fp, _row) the smallest id, and of repeated ids the first row."""
+    first = grouped(rows, "id").groupBy("group").agg(
+        F.min_by("_row", F.struct(F.col("id").isNull(), F.col("id"), F.col("_row"))).alias("_row")
+    )
+    return first.select("_row")
+
+
 def kept(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     """One row of every group: the smallest id, and of repeated ids the first row. All columns stay."""
     whole = docs.select(F.struct("*").alias("row"), docs["text"].alias("text"))
     rows = stored(
         with_fingerprint(whole).select("row", "fp", F.monotonically_increasing_id().alias("_row")), "simhash-rows"
     )
-    member = grouped(rows.select(F.col("row")[id_column].alias("id"), "fp", "_row"), "id")
-    first = member.groupBy("group").agg(
-        F.min_by("_row", F.struct(F.col("id").isNull(), F.col("id"), F.col("_row"))).alias("_row")
-    )
-    return rows.join(first.select("_row"), "_row", "left_semi").select("row.*")
+    first = firsts(rows.select(F.col("row")[id_column].alias("id"), "fp", "_row"))
+    return rows.join(first, "_row", "left_semi").select("row.*")
