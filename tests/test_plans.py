@@ -130,3 +130,13 @@ def test_rows_of_short_texts_are_dealt_without_the_setting(spark, sf, monkeypatc
     finally:
         if setting:
             spark.conf.set("spark.roomledger.tasks", setting)
+
+
+def test_pages_are_written_as_files_by_more_than_one_task(spark, sf, monkeypatch):
+    from roomledger import session
+    from roomledger.plans.queries import stores
+
+    dealt = []
+    monkeypatch.setattr(stores, "dealt", lambda rows, each: dealt.append(session.dealt(rows, each)) or dealt[-1])
+    assert QUERIES["html_file_pages"](spark, sf).count() == stores.table(spark, sf, "pages").count()
+    assert dealt[0].rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
