@@ -5,11 +5,11 @@ in a band of MinHash values, and every link is verified by the exact index of th
 of 5 values a pair at 0.8 is a candidate with probability 1 - (1 - 0.8^5)^30, 0.999993, and one at 0.9
 misses once in 10^11.
 
-A bucket is a band with its values. Its entries are compared in rounds with pivots, entries outside of the
-bucket's largest component: a pivot with all entries of other components that were no pivot before. Links join
-components, and a bucket is done when its open entries are of one component, so no pair of a bucket is left
-out that could join two of them. A round takes twice the pivots of the one before. A large group of copies
-joins in a few rounds and costs a few rows each; a bucket costs its entries times those that stay outside.
+A bucket is a band with its values. Buckets of the same sets are one. The sets of a bucket meet in blocks of a
+bounded number of shingles, every block with every other, and a pair of blocks is compared in one task: a pivot
+with all sets of other components that were no pivot before, until all sets but those of the largest component
+were pivots. So no rows of pairs are made, no pair of a bucket is left out that could join two components, and a
+large group of copies costs a few passes over its sets. A bucket costs its sets times those that stay outside.
 
 Defined results: words are between white space, A-Z in lower case. A text of fewer than five words is one
 shingle, and texts without words are equal. Shingles and sets are compared by 64-bit hashes. Rows without
@@ -19,12 +19,11 @@ an id take part. Columns other than the id and the text are carried, whatever th
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roomledger.llm import simhash
@@ -36,6 +35,8 @@ WIDTH = 5
 BANDS, VALUES = 30, 5
 SEED = 42
 _CHUNK = 1 << 12
+#: Shingles of a block of sets.
+BLOCK = 1 << 20
 # Odd multipliers and summands of the MinHash functions.
 _RANDOM = np.random.RandomState(SEED)
 _TIMES = _RANDOM.randint(0, 1 << 63, BANDS * VALUES, np.uint64) | np.uint64(1)
@@ -90,97 +91,70 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["same", "hashes"])
 
 
-def _near(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The rows (a, b, ...) of a stored table whose pairs have an index of 0.8 or more.
+def linked(sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Pairs (by place) of non-empty sets at 0.8 or more that connect all sets that such pairs connect.
 
-    Only the sets of these pairs are made. The common part c of sizes m and n is enough if 9 c >= 4 (m + n).
+    The common part c of sizes m and n is enough if 9 c >= 4 (m + n).
     """
-    used = pairs.select(F.explode(F.array("a", "b")).alias("same")).distinct()
-    sets = stored(texts.join(used, "same", "left_semi").mapInArrow(_hashed, _SETS), "neardup-sets")
-    side = lambda name, to: sets.select(F.col("same").alias(name), F.col("hashes").alias(to))
-    common = F.size(F.array_intersect("x", "y"))
-    return (
-        pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
-        .where(9 * common >= 4 * (F.size("x") + F.size("y"))).drop("x", "y")
-    )
-
-
-def _fitting(both: DataFrame) -> DataFrame:
-    """(a, b, ra, rb, votes): different pairs of entries e and pivots p of other components, of sizes that allow 0.8."""
-    fit = (F.col("p.root") != F.col("e.root")) & (5 * F.least("n", "np") >= 4 * F.greatest("n", "np"))
-    low, high = F.least("e", "p"), F.greatest("e", "p")
-    return (
-        both.where(fit)
-        .groupBy(low["same"].alias("a"), high["same"].alias("b"), low["root"].alias("ra"), high["root"].alias("rb"))
-        .agg(F.count("*").alias("votes"))
-    )
-
-
-def _moved(near: DataFrame) -> DataFrame:
-    """(root, to): components that links join with a smaller one."""
-    return components(near.select(F.col("ra").alias("a"), F.col("rb").alias("b"))).toDF("root", "to")
-
-
-def _still_apart(pairs: DataFrame, moved: DataFrame) -> DataFrame:
-    """Pairs of components that are not joined, with the components' new names."""
-    at = lambda name: F.coalesce(f"to_{name}", name).alias(name)
-    for name in ("ra", "rb"):
-        pairs = pairs.join(moved.toDF(name, f"to_{name}"), name, "left")
-    return pairs.select("a", "b", at("ra"), at("rb")).where("ra <> rb")
-
-
-def links(entries: DataFrame, texts: DataFrame) -> DataFrame:
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    starts = np.cumsum(sizes) - sizes
+    values, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    marked = np.zeros(len(values), bool)
+    group, fresh, found = np.arange(len(sets)), np.ones(len(sets), bool), []
+    while True:
+        main = np.bincount(group).argmax()
+        outside = np.flatnonzero(fresh & (group != main))
+        if not len(outside):
+            return found
+        p = outside[0]
+        fresh[p] = False
+        other = fresh & (group != group[p]) & (5 * np.minimum(sizes, sizes[p]) >= 4 * np.maximum(sizes, sizes[p]))
+        if not other.any():
+            continue
+        own = ids[starts[p] : starts[p] + sizes[p]]
+        marked[own] = True
+        common = np.add.reduceat(marked[ids], starts, dtype=np.int64)
+        marked[own] = False
+        joined, first = np.unique(np.where(other & (9 * common >= 4 * (sizes + sizes[p])), group, -1), return_index=True)
+        found += [(int(p), int(at)) for g, at in zip(joined, first) if g >= 0]
+        group[np.isin(group, joined)] = group[p]
+
+
+def _linked(block: pa.Table) -> pa.Table:
+    """The links among the rows (same, hashes) of a pair of blocks."""
+    same = block.column("same").to_pylist()
+    lists = block.column("hashes").combine_chunks()
+    lists = lists if isinstance(lists, pa.Array) else lists.chunk(0)
+    flat, ends = lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy())
+    pairs = linked(np.split(flat, ends[:-1]))
+    return pa.table({n: pa.array([same[x[i]] for x in pairs], pa.int64()) for i, n in enumerate("ab")})
+
+
+def links(entries: DataFrame, texts: DataFrame, block: int = BLOCK) -> DataFrame:
     """Edges (a, b) that connect all candidates at 0.8 or more.
 
     `entries` are stored rows (same, n, bucket) of different sets of n shingles, `texts` has (same, text) once.
-    The bucket's entries that were no pivot yet are open. When those of a bucket are of one component, all of
-    its pairs are compared or connected. A set is carried with all of its open buckets in one row.
+    Blocks have about `block` shingles. Sets are made once for each text that shares a bucket.
     """
-    first = entries.groupBy("bucket").agg(F.min(F.struct("same", "n")).alias("p"), F.count("*").alias("rows")).where("rows > 1")
-    shared = stored(entries.join(first, "bucket").where(F.col("same") != F.col("p.same")), "neardup-shared")
-    # The first pivots are the least entries. A set is compared with the pivot it shares most buckets with, then
-    # with its other pivots that this has not joined it to.
-    pairs = stored(_fitting(shared.select(
-        F.struct("same", F.col("same").alias("root")).alias("e"), "n",
-        F.struct("p.same", F.col("p.same").alias("root")).alias("p"), F.col("p.n").alias("np"),
-    )), "neardup-pairs")
-    best = pairs.groupBy("b").agg(F.max_by(F.struct("a", "ra", "rb"), F.struct("votes", "a")).alias("x")).select("x.a", "b", "x.ra", "x.rb")
-    near = stored(_near(stored(best, "neardup-best"), texts), "neardup-links")
-    found, tried, at_once = [near.select("a", "b")], pairs.select("a", "b"), 1
-    moved = _moved(near)
-    others = _still_apart(pairs.join(best.select("a", "b"), ["a", "b"], "left_anti"), moved)
-    left = shared.where("rows > 2").groupBy("same").agg(
-        F.min("n").alias("n"), F.min("same").alias("root"), F.collect_list("bucket").alias("buckets")
+    shared = entries.groupBy("bucket").agg(
+        F.count("*").alias("rows"), F.sum("n").alias("hashes"),
+        F.bit_xor(F.xxhash64("same")).alias("x"), F.bit_xor(F.xxhash64("same", F.lit(1))).alias("y"),
+    ).where("rows > 1")
+    chosen = shared.groupBy("rows", "hashes", "x", "y").agg(F.min("bucket").alias("bucket")).select(
+        "bucket", F.ceil(F.col("hashes") / block).cast("int").alias("blocks")
+    )
+    own = F.pmod(F.xxhash64("same", F.lit(2)), "blocks").cast("int")
+    others = F.array_except(F.sequence(F.lit(0), F.col("blocks") - 1), F.array(own))
+    at = stored(
+        entries.join(chosen, "bucket")
+        .select("same", "bucket", own.alias("own"), F.explode(F.when(F.col("blocks") > 1, others).otherwise(F.array(F.lit(0)))).alias("other"))
+        .select("same", "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")),
+        "neardup-blocks",
+    )
+    sets = texts.join(at.select("same").distinct(), "same", "left_semi").mapInArrow(_hashed, _SETS)
+    return stored(
+        at.join(sets, "same").groupBy("bucket", "i", "j").applyInArrow(_linked, "a bigint, b bigint").distinct(), "neardup-links"
     )
-    left = _renamed(left, moved)
-    pairs = stored(others, "neardup-pairs")
-    while True:
-        near = stored(_near(pairs, texts), "neardup-links")
-        found.append(near.select("a", "b"))
-        left = _renamed(left, _moved(near)).select("same", "n", "root", F.explode("buckets").alias("bucket"))
-        parts = left.groupBy("bucket", "root").agg(F.count("*").alias("c"))
-        main = parts.groupBy("bucket").agg(
-            F.max_by("root", F.struct("c", "root")).alias("main"), F.count("*").alias("parts")
-        ).where("parts > 1").select("bucket", "main")
-        open_ = stored(left.join(main, "bucket"), "neardup-open")
-        if open_.isEmpty():
-            return reduce(DataFrame.union, found)
-        order = Window.partitionBy("bucket").orderBy(F.xxhash64("same"), "same")
-        outside = open_.where("root <> main").withColumn("at", F.row_number().over(order))
-        pivots = stored(outside.where(F.col("at") <= at_once), "neardup-pivots")
-        pivot = pivots.select("bucket", F.struct("same", "root").alias("p"), F.col("n").alias("np"))
-        both = open_.select("bucket", F.struct("same", "root").alias("e"), "n").join(pivot, "bucket")
-        pairs = stored(_fitting(both).drop("votes").join(tried, ["a", "b"], "left_anti"), "neardup-pairs")
-        tried = tried.union(pairs.select("a", "b"))
-        left = open_.join(pivots.select("bucket", "same"), ["bucket", "same"], "left_anti").groupBy("same", "n", "root").agg(
-            F.collect_list("bucket").alias("buckets")
-        )
-        at_once *= 2
-
-
-def _renamed(left: DataFrame, moved: DataFrame) -> DataFrame:
-    """Rows with the new names of their components."""
-    return left.join(moved, "root", "left").select("same", "n", F.coalesce("to", "root").alias("root"), "buckets")
 
 
 def kept(docs: DataFrame, id_column: str = "doc_id", fingerprints: bool = False) -> DataFrame:
