@@ -132,8 +132,8 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def transform(data: bytes) -> np.ndarray:
     """The order of a short shard's suffixes, the empty one first."""
     text = data.decode("latin-1")  # letters in the order of the bytes
-    suffixes = [text[i:] for i in range(len(text) + 1)]
-    return np.array(sorted(range(len(text) + 1), key=suffixes.__getitem__), np.int32)
+    suffixes = sorted([text[i:] for i in range(len(text) + 1)])
+    return len(text) - np.fromiter(map(len, suffixes), np.int32, len(suffixes))
 
 
 def _dense(values: np.ndarray, size: int) -> tuple[np.ndarray, int]:
@@ -149,8 +149,9 @@ def repeated(shards: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
 
     A round takes the order from h symbols to h + k: it sorts stably by the k symbols before each
     suffix, which are the shards' transforms read k at a time, and goes on to the suffixes that begin
-    there. Where a shard has no k symbols left, its part ends. The largest k up to 4 is taken whose
-    words fit 16 bits; what then lacks of the length is rounds of one.
+    there. Suffixes with fewer than `length` symbols before them can not end a string and take no part, so
+    there always are k symbols left. The largest k up to 4 is taken whose words fit 16 bits; what then lacks
+    of the length is rounds of one.
     """
     sizes = np.array([len(s) + 1 for s in shards])
     ends = np.cumsum(sizes)
@@ -169,13 +170,14 @@ def repeated(shards: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
         if more > 1 << 16:
             break
         words, kinds, step = longer, more, 2 * step
-    order, block = np.arange(len(at), dtype=np.int32), np.zeros(len(at), np.int32)
+    order = np.flatnonzero(suffix >= length).astype(np.int32)
+    block = np.zeros(len(order), np.int32)
     for k, rounds in ((1, length % step), (step, length // step)):
         symbols = (text[at - 1] if k == 1 else words[at]).astype(np.uint16)
         back = np.where(suffix >= k, place[at - k], -1)
         for _ in range(rounds):
-            left = back[order] >= 0
-            order, block = order[left], block[left]
+            if not len(order):
+                break
             s = symbols[order]
             sort = np.argsort(s, kind="stable")
             s, block = s[sort], block[sort]
@@ -186,11 +188,9 @@ def repeated(shards: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
             company = ~(begins[:-1] & begins[1:])
             order = order[company]
             block = np.cumsum(begins[:-1][company], dtype=np.int32)
-            if not len(order):
-                break
-    found = np.sort(order)
-    cuts = np.searchsorted(found, np.r_[0, ends])
-    return [np.sort(suffix[found[i:j]]) for i, j in zip(cuts, cuts[1:])]
+    found = np.sort(at[order])
+    cuts = np.searchsorted(found, np.r_[0, ends]).tolist()
+    return [found[i:j] - end + size for i, j, end, size in zip(cuts, cuts[1:], ends.tolist(), sizes.tolist())]
 
 
 _FOUND = "a bigint, c bigint, spans array<struct<s:int,e:int>>"
@@ -201,8 +201,9 @@ _FOUND_SCHEMA = pa.schema([
 
 def _runs(places: np.ndarray) -> list[dict]:
     """Neighbouring places as (s, e), e included."""
-    cut = np.flatnonzero(np.diff(places) > 1)
-    return [{"s": int(s), "e": int(e)} for s, e in zip(places[np.r_[0, cut + 1]], places[np.r_[cut, len(places) - 1]])]
+    cut = np.flatnonzero(places[1:] - places[:-1] > 1)
+    starts, ends = places[cut + 1].tolist(), places[cut].tolist()
+    return [{"s": s, "e": e} for s, e in zip([int(places[0]), *starts], [*ends, int(places[-1])])]
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -486,6 +486,21 @@ def test_components_of_a_long_chain(spark):
     assert got == {**{i: 0 for i in range(301)}, 900: 900, 1000: 900}
 
 
+def test_merging_sorts_only_symbols_that_can_begin_a_repeated_string(monkeypatch):
+    """A shard of 200 to 368 bytes has few strings of 200; the other suffixes take no part in the rounds."""
+    rng = random.Random(21)
+    letters = lambda n: bytes(rng.choice(b"abcdefgh ") for _ in range(n))
+    common = letters(230)
+    shards = [letters(i) + common[: 180 + i] + letters(9 * i) for i in range(4, 50)]
+    seen, sort = [], np.argsort
+    monkeypatch.setattr(np, "argsort", lambda x, **options: seen.append(len(x)) or sort(x, **options))
+    got = repeats.repeated(shards)
+    strings = collections.Counter(s[i : i + 200] for s in shards for i in range(len(s) - 199))
+    want = [[i for i in range(len(s) - 199) if strings[s[i : i + 200]] > 1] for s in shards]
+    assert [x.tolist() for x in got] == want and any(want)
+    assert max(seen) <= sum(max(0, len(s) - 199) for s in shards)
+
+
 # --- top-k --------------------------------------------------------------------------
 
 
