@@ -93,3 +93,13 @@ def test_dense_rank_over_all_digits(spark):
     ranked = rank.dense_rank_in(holes, ["g"], "v").collect()
     assert {(r["g"], r["v"], r["rank"]) for r in ranked} == {
         (None, 3, 2), (None, 9, 1), ("a", None, None), ("a", 1, 1)}
+
+
+def test_values_are_measured_once(spark):
+    """The plan of a merge trims a text twice, for its size and to tell blank ones, and writes a list once."""
+    rows = spark.range(3).selectExpr("id AS k", "id AS seq", "concat(' ', id) AS v", "array(string(id)) AS list")
+    stored = rows.localCheckpoint()
+    for merged in (merge.merge_rows(stored, ["k"], ["seq"]), merge.merge_state(stored, ["k"], ["seq"])):
+        plan = merged._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("trim(") == 2
+        assert plan.count("transform(") == 1
