@@ -4,6 +4,7 @@ import datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from roomledger.functions.jsontext import json_text
 from roomledger.plans import daily, listing
@@ -192,3 +193,37 @@ def test_a_piece_of_a_value_is_found_behind_a_character_reference():
     page = _Page("<div><a href='/a'>x</a></div><p><a href='/b&amp;c'>y</a></p>")
     assert [f.rule.field for f in able.on(page, None)] == ["link"]
     assert able.on(page, page.nodes[0]) == [] and able.on(page, page.nodes[2])[0].run(page, page.nodes[2]) == [(0, 0, "/b&c")]
+
+
+def test_json_text_escapes_what_needs_it(spark):
+    texts = ["", "plain", "Hạ Long   \U0001f600", 'a "quote"', "back\\slash", "tab\t", "bell\x07", "del\x7f", "sl/ash"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = rows.select(json_text(F.col("t"), T.StringType()), F.to_json(F.array("t"))).collect()
+    assert [f"[{mine}]" for mine, _ in got] == [theirs for _, theirs in got]
+    bad = rows.limit(1).select(F.expr("cast(X'41FF' AS string)").alias("t"))
+    mine, theirs = bad.select(json_text(F.col("t"), T.StringType()), F.to_json(F.array("t"))).first()
+    assert f"[{mine}]" == theirs
+
+
+def test_block_notices_are_not_searched(spark):
+    """Their cards are dropped anyway; one row stays, as for a page without cards."""
+    card = CARD.format("inn", "<div data-testid='title'>Inn</div>") * 2
+    table = pages(
+        spark,
+        ("search", "https://s.example.com/1", "<title>Stays</title>" + card),
+        ("search", "https://s.example.com/2", "<title>Access DENIED</title>" + card),
+        ("search", "https://s.example.com/403", card),
+    )
+    found = listing.extract_cards(table, blocked=False)
+    assert [(r.page_id, r.unit) for r in found.orderBy("page_id", "unit").collect()] == [(0, 0), (0, 1), (1, None), (2, None)]
+    whole = listing.usable_cards(listing.extract_cards(table)).collect()
+    assert listing.usable_cards(found).collect() == whole and len(whole) == 2
+
+
+def test_siblings_of_the_unit(spark):
+    """A sibling in front of the card itself counts for what is inside of the card."""
+    html = "<i>a</i><p class=c><i></i><b>1</b></p><p class=c><i></i><b>2</b><u>3</u><b>4</b></p>"
+    rules = [Rule("inside", "i ~ p b"), Rule("beside", "u ~ b"), Rule("none", "u ~ p b")]
+    rows = extract(pages(spark, ("x", "u", html)), rules, [".c"]).orderBy("unit").collect()
+    got = [[[c["text"] for c in row[r.field]] for r in rules] for row in rows]
+    assert got == [[["1"], [], []], [["2", "4"], ["4"], []]]
