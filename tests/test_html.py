@@ -227,3 +227,15 @@ def test_siblings_of_the_unit(spark):
     rows = extract(pages(spark, ("x", "u", html)), rules, [".c"]).orderBy("unit").collect()
     got = [[[c["text"] for c in row[r.field]] for r in rules] for row in rows]
     assert got == [[["1"], [], []], [["2", "4"], ["4"], []]]
+
+
+def test_columns_are_built_once(spark, monkeypatch):
+    """A second plan of the daily run takes few calls to the JVM (27,000 and more when each part is built again)."""
+    table = pages(spark, ("search", "https://s.example.com/1", CARD.format("inn", "")))
+    daily.bronze_rows(daily.daily_records(table))
+    client = type(spark._sc._gateway._gateway_client)
+    plain, calls = client.send_command, []
+    monkeypatch.setattr(client, "send_command", lambda *args, **named: calls.append(1) or plain(*args, **named))
+    again = daily.bronze_rows(daily.daily_records(table))
+    assert len(calls) < 9000
+    assert [r.hotel_id for r in again.collect()] == ["inn"]
