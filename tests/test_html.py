@@ -239,3 +239,26 @@ def test_columns_are_built_once(spark, monkeypatch):
     again = daily.bronze_rows(daily.daily_records(table))
     assert len(calls) < 9000
     assert [r.hotel_id for r in again.collect()] == ["inn"]
+
+
+def test_reading_a_page_makes_no_call_for_an_element_it_knows():
+    import sys
+
+    from roomledger.sources.html import _Page
+
+    html = "<ul>" + "<li class='a'>one <b>two</b>\n" * 500 + "</ul>"
+    _Page(html)
+    calls = []
+    sys.setprofile(lambda frame, event, _: calls.append(frame.f_code.co_name) if event == "call" else None)
+    try:
+        page = _Page(html)
+    finally:
+        sys.setprofile(None)
+    assert len(page.nodes) == 1001 and calls.count("close") <= 501 and len(calls) < 520, len(calls)
+
+
+def test_a_rule_that_climbs_out_of_its_unit(spark):
+    html = "<p class=c><u>1</u><i>a</i></p><div><p class=c><b>x</b><i>b</i></p><u>2</u></div><script>1 < 2</script>"
+    rules = [Rule("plain", "i"), Rule("up", "b", up="div", then="u"), Rule("script", "script", take="raw")]
+    rows = extract(pages(spark, ("x", "u", html)), rules, [".c"]).orderBy("unit").collect()
+    assert [[[c["text"] for c in row[r.field]] for r in rules] for row in rows] == [[["a"], [], []], [["b"], ["2"], []]]
