@@ -4,6 +4,7 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from roomledger import fixed_values as fixed
 from roomledger.functions import lists, numbers, places, reviews, text
@@ -225,3 +226,26 @@ def test_squeeze_and_strip(spark):
 @pytest.mark.parametrize("value", ["", " None ", "null", "[]", "{}", None])
 def test_blank(spark, value):
     assert each(spark, [value], text.is_blank) == [True]
+
+
+def test_json_text_does_not_look_up_methods_by_row(spark):
+    """A function called by its name looks its method up for every text inside of a lambda."""
+    from roomledger.functions.jsontext import json_text
+
+    rows = spark.createDataFrame([(["a", "b"],)], "t array<string>").select(json_text(F.col("t"), T.ArrayType(T.StringType())))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "valid_utf8" not in plan and "isvalid" not in plan
+
+
+def test_a_review_block_is_only_read_for_what_the_elements_lack(spark):
+    block = "Good\n8.1\n512 reviews"
+    one = "array<struct<prio:int,grp:int,text:string>>"
+    rows = spark.createDataFrame(
+        [([(0, 0, block)], [(0, 0, "7.5")], [], [(0, 0, "Fine"), (0, 1, "9 reviews")]), ([(0, 0, block)], [], [], [])],
+        f"b {one}, n {one}, r {one}, v {one}",
+    )
+    rating = reviews.card_rating(F.col("b"), F.col("n"), F.col("r"), F.col("v"))
+    assert [tuple(r[0]) for r in rows.select(rating).collect()] == [(7.5, "Fine", 9), (8.1, "Good", 512)]
+    # What is known is not read again: the lines of the first block would give another score.
+    known = F.struct(F.lit(7.0).alias("score"), F.lit(None).cast("string").alias("label"), F.lit(None).cast("bigint").alias("review_count"))
+    assert tuple(rows.select(reviews.review_block(F.lit(block), known)).first()[0]) == (7.0, "Good", 512)
