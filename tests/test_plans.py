@@ -140,3 +140,19 @@ def test_pages_are_written_as_files_by_more_than_one_task(spark, sf, monkeypatch
     monkeypatch.setattr(stores, "dealt", lambda rows, each: dealt.append(session.dealt(rows, each)) or dealt[-1])
     assert QUERIES["html_file_pages"](spark, sf).count() == stores.table(spark, sf, "pages").count()
     assert dealt[0].rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+@pytest.mark.parametrize("name, cards, details", [
+    ("enrichment_counts", {"href"}, {"loaded"}),
+    ("room_table", {"href"}, {"loaded", "room_name", "room_row", "room_occupancy", "room_occupancy_text", "room_price"}),
+    ("record_completeness", {"href", "name", "price", "image"}, {"loaded", "description", "subscore", "popular"}),
+])
+def test_pages_are_searched_for_what_the_query_reads(spark, sf, monkeypatch, name, cards, details):
+    from roomledger.plans import listing
+
+    asked = []
+    plain = listing.extract
+    monkeypatch.setattr(listing, "extract", lambda *args, **named: asked.append(named.get("only")) or plain(*args, **named))
+    QUERIES[name](spark, sf)
+    assert None not in asked and cards <= set(asked[0]) and details <= set(asked[1])
+    assert not {"badge", "card_text", "type_hint", "language", "facility_item"} & {*asked[0], *asked[1]}
